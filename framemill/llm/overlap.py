@@ -28,7 +28,7 @@ from framemill.session import checkpointed
 #: Grey levels of mean absolute difference up to which two pictures are near-same.
 MOST = 4.0
 #: Contrasts per band, and grid width in grey levels for bands on the whole picture and on a part.
-CONTRASTS, WIDTH_WHOLE, WIDTH_PART = 6, 1.6, 2.4
+CONTRASTS, WIDTH_WHOLE, WIDTH_PART = 9, 1.6, 1.2
 BANDS_WHOLE, BANDS_PART = 8, 8
 #: Cosine orders (down, across) from which contrasts are made, coarse first.
 ORDERS = ((0, 1), (1, 0), (0, 2), (1, 1), (2, 0), (1, 2), (0, 3), (2, 1), (1, 3), (3, 0), (2, 2), (0, 4))
@@ -60,8 +60,8 @@ def _made_plan(height: int, width: int) -> tuple[np.ndarray, list[tuple[np.ndarr
     rng = np.random.default_rng(20_250_301)
     columns, bands = [_patterns(height, width, ORDERS)], []
     for i in range(BANDS_WHOLE):
-        # the coarse contrasts tell pictures apart best; each band leaves some of them out
-        order = np.sort(np.concatenate([rng.permutation(5)[:4], 5 + rng.permutation(len(ORDERS) - 5)[: CONTRASTS - 4]]))
+        # each band leaves some contrasts out, so that no one of them can spoil all bands
+        order = np.sort(rng.permutation(len(ORDERS))[:CONTRASTS])
         bands.append((order, rng.random(CONTRASTS), WIDTH_WHOLE))
     # parts: overlapping windows of half the height and half the width
     for i in range(BANDS_PART):
@@ -111,17 +111,17 @@ def class_hash(c: np.ndarray, height: int, width: int) -> np.ndarray:
 
 
 def band_hashes(c: np.ndarray, height: int, width: int) -> np.ndarray:
-    """int64 (n, bands)."""
+    """int32 (n, bands)."""
     matrix, bands = _plan(height, width)
     contrasts = (c.astype(np.float32) @ matrix.astype(np.float32)).astype(np.float64) / (3 * height * width)
-    out = np.empty((len(c), len(bands)), np.uint64)
+    out = np.empty((len(c), len(bands)), np.uint32)
     for i, (columns, shifts, step) in enumerate(bands):
         cells = np.floor(contrasts[:, columns] / step + shifts).astype(np.int64)
-        h = np.full(len(c), (i + 1) << 32 ^ height << 16 ^ width, np.uint64)
+        h = np.full(len(c), height << 32 ^ width, np.uint64)
         for j in range(cells.shape[1]):
             h = _mix(h, cells[:, j].view(np.uint64))
-        out[:, i] = _mix(h, np.uint64(i))
-    return out.view(np.int64)
+        out[:, i] = (_mix(h, np.uint64(i)) >> np.uint64(16)).astype(np.uint32)
+    return out.view(np.int32)
 
 
 def _hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -133,20 +133,20 @@ def _hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             take = pa.array(at)
             yield pa.RecordBatch.from_arrays(
                 [
-                    batch.column("row_id").take(take), batch.column("side").take(take), batch.column("split").take(take), batch.column("source").take(take),
+                    batch.column("row_id").take(take), batch.column("split").take(take), batch.column("source").take(take),
                     pa.array(whole[:, 0]), pa.array(whole[:, 1]),
                     pa.ListArray.from_arrays(pa.array(np.arange(0, bands.size + 1, bands.shape[1], dtype=np.int32)), pa.array(bands.ravel())),
                 ],
-                names=["row_id", "side", "split", "source", "h1", "h2", "bands"],
+                names=["row_id", "split", "source", "h1", "h2", "bands"],
             )
 
 
 def hashed(rows: DataFrame) -> DataFrame:
-    """row_id, side ('train', 'eval'), split, source, h1, h2, bands for the rows of train, val and test whose pictures decode."""
+    """row_id, split, source, h1, h2, bands for the rows of train, val and test whose pictures decode."""
     split = F.lower(F.regexp_replace("split", r"^\s+|\s+$", ""))
-    wanted = rows.select(F.col("row_id").cast("bigint").alias("row_id"), "image", F.when(split == "train", "train").otherwise("eval").alias("side"), split.alias("split"), F.col("source").cast("string").alias("source"))
+    wanted = rows.select(F.col("row_id").cast("bigint").alias("row_id"), "image", split.alias("split"), F.col("source").cast("string").alias("source"))
     wanted = wanted.where(F.col("split").isin("train", "val", "test") & F.col("image").isNotNull() & F.col("row_id").isNotNull())
-    return wanted.mapInArrow(_hashed, "row_id bigint, side string, split string, source string, h1 bigint, h2 bigint, bands array<bigint>")
+    return wanted.mapInArrow(_hashed, "row_id bigint, split string, source string, h1 bigint, h2 bigint, bands array<int>")
 
 
 def _pixels(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -180,7 +180,7 @@ def _verified(most: float):
 class Overlap:
     """Cross-split overlaps of a picture table, by classes of exact copies.
 
-    members: row_id, side, split, source, rep (the smallest row_id of the class).
+    members: row_id, split, source, rep (the smallest row_id of the class).
     links: rep_a, rep_b: classes with evaluation and training rows, at most
     ``most`` grey levels apart (a class with both is linked with itself).
 
@@ -194,13 +194,13 @@ class Overlap:
     def __init__(self, rows: DataFrame, most: float = MOST):
         h = checkpointed(hashed(rows))
         classes = h.groupBy("h1", "h2").agg(
-            F.min("row_id").alias("rep"), F.max(F.col("side") == "eval").alias("has_eval"), F.max(F.col("side") == "train").alias("has_train"), F.first("bands").alias("bands")
+            F.min("row_id").alias("rep"), F.max(F.col("split") != "train").alias("has_eval"), F.max(F.col("split") == "train").alias("has_train"), F.first("bands").alias("bands")
         )
         classes = checkpointed(classes)
         self.members = h.drop("bands").join(classes.select("h1", "h2", "rep"), ["h1", "h2"]).drop("h1", "h2")
-        ev = classes.where("has_eval").select(F.col("rep").alias("rep_a"), F.explode("bands").alias("band"))
-        tr = classes.where("has_train").select(F.col("rep").alias("rep_b"), F.explode("bands").alias("band"))
-        met = checkpointed(ev.join(tr, "band").where("rep_a <> rep_b").select("rep_a", "rep_b").distinct())
+        ev = classes.where("has_eval").select(F.col("rep").alias("rep_a"), F.posexplode("bands").alias("no", "band"))
+        tr = classes.where("has_train").select(F.col("rep").alias("rep_b"), F.posexplode("bands").alias("no", "band"))
+        met = checkpointed(ev.join(tr, ["no", "band"]).where("rep_a <> rep_b").select("rep_a", "rep_b").distinct())
         wanted = met.select(F.col("rep_a").alias("row_id")).union(met.select("rep_b")).distinct()
         grey = rows.select(F.col("row_id").cast("bigint").alias("row_id"), "image").join(wanted, "row_id", "left_semi").mapInArrow(_pixels, "row_id bigint, height int, grey binary")
         side = lambda x: grey.select(F.col("row_id").alias(f"rep_{x}"), F.col("height").alias(f"height_{x}"), F.col("grey").alias(f"grey_{x}"))
@@ -211,8 +211,8 @@ class Overlap:
     def pairs(self) -> DataFrame:
         """All pairs of rows, one of an evaluation split, one of train: row_id_a < row_id_b. As many rows as there are pairs."""
         m = self.members
-        ev = m.where("side = 'eval'").select(F.col("rep").alias("rep_a"), F.col("row_id").alias("e"))
-        tr = m.where("side = 'train'").select(F.col("rep").alias("rep_b"), F.col("row_id").alias("t"))
+        ev = m.where("split <> 'train'").select(F.col("rep").alias("rep_a"), F.col("row_id").alias("e"))
+        tr = m.where("split = 'train'").select(F.col("rep").alias("rep_b"), F.col("row_id").alias("t"))
         both = self.links.join(ev, "rep_a").join(tr, "rep_b")
         return both.select(F.least("e", "t").alias("row_id_a"), F.greatest("e", "t").alias("row_id_b"))
 
@@ -221,9 +221,9 @@ class Overlap:
 
         Counted from class sizes, without making the pairs.
         """
-        trained = self.members.where("side = 'train'").groupBy(F.col("rep").alias("rep_b")).agg(F.count(F.lit(1)).alias("n"))
+        trained = self.members.where("split = 'train'").groupBy(F.col("rep").alias("rep_b")).agg(F.count(F.lit(1)).alias("n"))
         hits = self.links.join(trained, "rep_b").groupBy(F.col("rep_a").alias("rep")).agg(F.sum("n").alias("n"), F.max(F.col("rep_a") == F.col("rep_b")).alias("same"))
-        ev = self.members.where("side = 'eval'").groupBy("split", "source", "rep").agg(F.count(F.lit(1)).alias("rows"))
+        ev = self.members.where("split <> 'train'").groupBy("split", "source", "rep").agg(F.count(F.lit(1)).alias("rows"))
         return ev.join(hits, "rep", "left").groupBy("split", "source").agg(
             F.sum("rows").alias("eval_rows"), F.sum(F.when(F.col("n").isNotNull(), F.col("rows")).otherwise(0)).alias("overlapping"),
             F.sum(F.when(F.col("same"), F.col("rows")).otherwise(0)).alias("same"), F.sum(F.coalesce(F.col("rows") * F.col("n"), F.lit(0))).alias("pairs"),
