@@ -4,13 +4,11 @@ Pictures are canonicalised (decoded, channels averaged, own mean subtracted; all
 in whole numbers, so equal pictures are exactly equal) and hashed. One hash of
 the whole canonical picture puts exact copies into classes, also of pictures
 that differ in brightness or encoding only. Near copies meet through band hashes:
-each band rounds a few contrasts of the canonical picture, between large fields
-of it, on a shifted grid; a small change moves a contrast by little, so a near
-copy keeps all contrasts of some band. Evaluation hashes are joined with training
-hashes, and the exact distance decides every pair that met.
-
-Half of the bands look at the whole picture (noise averages out best there), the
-other half at one part each (a spot in another part leaves these untouched).
+a band rounds random contrasts of one window of the picture on a shifted grid.
+Noise moves a contrast by little against the grid, and a spot in another window
+leaves it untouched. Training pictures have one hash per band; evaluation
+pictures also look into the cells beyond their nearest grid lines. A 64-bit sketch
+of signs drops pairs that met by chance, and the exact distance decides the rest.
 """
 
 from __future__ import annotations
@@ -27,55 +25,40 @@ from framemill.session import checkpointed
 
 #: Grey levels of mean absolute difference up to which two pictures are near-same.
 MOST = 4.0
-#: Contrasts per band, and grid width in grey levels for bands on the whole picture and on a part.
-CONTRASTS, WIDTH_WHOLE, WIDTH_PART = 9, 1.6, 1.2
-BANDS_WHOLE, BANDS_PART = 8, 8
-#: Cosine orders (down, across) from which contrasts are made, coarse first.
-ORDERS = ((0, 1), (1, 0), (0, 2), (1, 1), (2, 0), (1, 2), (0, 3), (2, 1), (1, 3), (3, 0), (2, 2), (0, 4))
-
-
-def _patterns(height: int, width: int, orders: tuple[tuple[int, int], ...]) -> np.ndarray:
-    """Contrasts between light and dark fields of a cosine's sign: columns that sum to zero and whose largest weight is 1 / pixels."""
-    y, x = (np.arange(height) + 0.5) / height, (np.arange(width) + 0.5) / width
-    out = []
-    for a, b in orders:
-        p = np.sign(np.outer(np.cos(np.pi * a * y), np.cos(np.pi * b * x)).round(9)).ravel()
-        p = p - p.mean()
-        out.append(p / max(np.abs(p).max(), 1e-9) / p.size)
-    return np.array(out, np.float64).T
-
+#: Contrasts per band, and the grid width in standard deviations that grey noise of NOISE levels gives a contrast.
+CONTRASTS, WIDTH, NOISE = 20, 2.3, 7.5
+#: Cells that evaluation pictures look into per band: their own, those across the nearest SINGLES grid lines, those across two of the nearest PAIRS.
+SINGLES, PAIRS = 6, 3
+#: Grey levels from its mean beyond which a pixel counts as that far, so that a spot does not outweigh the picture.
+CLIP = 32
+#: Cells per side to which larger pictures are averaged before they are hashed (the distance is always of all pixels).
+SIDE = 32
+#: Bits of 64 in which the sketches of near pictures may differ; unrelated ones differ in about half.
+SKETCH = 20
 
 _PLANS: dict = {}
 _ODD: dict = {}
 
 
 def _plan(height: int, width: int):
+    """The contrast matrix of a picture shape, with grid widths, shifts and multipliers per column; sketch columns last."""
     if (height, width) not in _PLANS:
-        _PLANS[height, width] = _made_plan(height, width)
-    return _PLANS[height, width]
-
-
-def _made_plan(height: int, width: int) -> tuple[np.ndarray, list[tuple[np.ndarray, np.ndarray, float]]]:
-    """The contrast matrix for a picture shape, and per band its columns, grid shifts and grid width."""
-    rng = np.random.default_rng(20_250_301)
-    columns, bands = [_patterns(height, width, ORDERS)], []
-    for i in range(BANDS_WHOLE):
-        # each band leaves some contrasts out, so that no one of them can spoil all bands
-        order = np.sort(rng.permutation(len(ORDERS))[:CONTRASTS])
-        bands.append((order, rng.random(CONTRASTS), WIDTH_WHOLE))
-    # parts: overlapping windows of half the height and half the width
-    for i in range(BANDS_PART):
-        top, left = (0, height // 2, height // 4, 0)[i % 4], (0, width // 2, width // 4, width // 2)[i % 4]
-        if i >= 4:
-            top, left = (height // 2, height // 4, 0, height // 4)[i % 4], (0, 0, width // 4, width // 2)[i % 4]
+        rng = np.random.default_rng(20_250_301)
         h, w = max(height // 2, 1), max(width // 2, 1)
-        local = _patterns(h, w, ORDERS[:CONTRASTS])
-        whole = np.zeros((height, width, CONTRASTS))
-        whole[top : top + h, left : left + w] = local.reshape(h, w, CONTRASTS)
-        start = sum(c.shape[1] for c in columns)
-        columns.append(whole.reshape(height * width, CONTRASTS))
-        bands.append((np.arange(start, start + CONTRASTS), rng.random(CONTRASTS), WIDTH_PART))
-    return np.concatenate(columns, axis=1), bands
+        tops, lefts = sorted({0, (height - h) // 2, height - h}), sorted({0, (width - w) // 2, width - w})
+        windows = [(t, left) for t in tops for left in lefts]
+        columns, widths = [], []
+        for top, left in windows:
+            signs = rng.choice([-1.0, 1.0], (h * w, CONTRASTS))
+            window = np.zeros((height, width, CONTRASTS))
+            window[top : top + h, left : left + w] = ((signs - signs.mean(axis=0)) / (h * w)).reshape(h, w, CONTRASTS)
+            columns.append(window.reshape(height * width, CONTRASTS))
+            widths += [WIDTH * NOISE / np.sqrt(h * w)] * CONTRASTS
+        signs = rng.choice([-1.0, 1.0], (height * width, 64))
+        columns.append(signs - signs.mean(axis=0))
+        multipliers = rng.integers(1, 2**62, len(widths)).astype(np.uint64) * np.uint64(2) + np.uint64(1)
+        _PLANS[height, width] = np.concatenate(columns, axis=1).astype(np.float32), np.array(widths), rng.random(len(widths)), multipliers, len(windows)
+    return _PLANS[height, width]
 
 
 def canonical(pixels: np.ndarray) -> np.ndarray:
@@ -93,14 +76,10 @@ def _mix(h: np.ndarray, x: np.ndarray) -> np.ndarray:
 
 def _odd(size: int) -> np.ndarray:
     if size not in _ODD:
-        _ODD[size] = _made_odd(size)
+        _ODD[size] = np.random.default_rng(size).integers(0, 2**62, (2, size)).astype(np.uint64) * np.uint64(2) + np.uint64(1)
     return _ODD[size]
 
 
-def _made_odd(size: int) -> np.ndarray:
-    return np.random.default_rng(size).integers(0, 2**63, (2, size), dtype=np.int64).astype(np.uint64) * np.uint64(2) + np.uint64(1)
-
-
 def class_hash(c: np.ndarray, height: int, width: int) -> np.ndarray:
     """Two 64-bit hashes of each canonical picture, with its shape."""
     with np.errstate(over="ignore"):
@@ -110,18 +89,45 @@ def class_hash(c: np.ndarray, height: int, width: int) -> np.ndarray:
         return np.stack([_mix((u * m).sum(axis=1, dtype=np.uint64), np.uint64(height << 32 | width)) for m in _odd(c.shape[1])], axis=1).view(np.int64)
 
 
-def band_hashes(c: np.ndarray, height: int, width: int) -> np.ndarray:
-    """int32 (n, bands)."""
-    matrix, bands = _plan(height, width)
-    contrasts = (c.astype(np.float32) @ matrix.astype(np.float32)).astype(np.float64) / (3 * height * width)
-    out = np.empty((len(c), len(bands)), np.uint32)
-    for i, (columns, shifts, step) in enumerate(bands):
-        cells = np.floor(contrasts[:, columns] / step + shifts).astype(np.int64)
-        h = np.full(len(c), height << 32 ^ width, np.uint64)
-        for j in range(cells.shape[1]):
-            h = _mix(h, cells[:, j].view(np.uint64))
-        out[:, i] = (_mix(h, np.uint64(i)) >> np.uint64(16)).astype(np.uint32)
-    return out.view(np.int32)
+def _grey(c: np.ndarray, height: int, width: int) -> tuple[np.ndarray, int, int]:
+    """Canonical pictures in grey levels, clipped; large ones averaged over at most SIDE x SIDE cells."""
+    g = np.clip(c / (3 * height * width), -CLIP, CLIP).astype(np.float32).reshape(-1, height, width)
+    for axis, size in ((1, height), (2, width)):
+        if size > SIDE:
+            edges = np.linspace(0, size, SIDE + 1).astype(int)
+            g = np.add.reduceat(g, edges[:-1], axis=axis) / np.diff(edges).reshape((-1, 1) if axis == 1 else (-1,)).astype(np.float32)
+    return g.reshape(len(g), -1), g.shape[1], g.shape[2]
+
+
+def band_hashes(c: np.ndarray, height: int, width: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """int32 (n, bands), int32 (n, bands, probes) whose first is the band's own, int64 sketch (n)."""
+    g, h, w = _grey(c, height, width)
+    matrix, widths, shifts, multipliers, bands = _plan(h, w)
+    all_contrasts = (g @ matrix).astype(np.float64)
+    sketch = np.packbits(all_contrasts[:, len(widths) :] > 0, axis=1).view(np.int64).ravel()
+    at = all_contrasts[:, : len(widths)] / widths + shifts
+    cell = np.floor(at)
+    part = (at - cell).reshape(len(c), bands, CONTRASTS)
+    order = np.argsort(np.minimum(part, 1 - part), axis=2)[:, :, : max(SINGLES, PAIRS)]
+    with np.errstate(over="ignore"):
+        terms = (cell.astype(np.int64).view(np.uint64) * multipliers).reshape(len(c), bands, CONTRASTS)
+        own = terms.sum(axis=2, dtype=np.uint64)
+        # crossing the nearest grid line adds or takes one multiplier
+        turn = np.where(part < 0.5, np.uint64(2**64 - 1), np.uint64(1)) * multipliers.reshape(bands, CONTRASTS)
+        turn = np.take_along_axis(turn, order, axis=2)
+        probes = [own, *(own + turn[:, :, i] for i in range(SINGLES)), *(own + turn[:, :, i] + turn[:, :, j] for i in range(PAIRS) for j in range(i))]
+        keys = np.stack(probes, axis=2)
+        for x in (np.arange(bands, dtype=np.uint64)[:, None], np.uint64(height << 32 | width)):
+            keys = _mix(keys, x)
+    keys = (keys >> np.uint64(13)).astype(np.uint32).view(np.int32)
+    return np.ascontiguousarray(keys[:, :, 0]), keys, sketch
+
+
+def _lists(keys: np.ndarray, there: np.ndarray) -> pa.Array:
+    """Rows of keys as lists, null where not there."""
+    n = keys.shape[1]
+    offsets = np.r_[0, np.cumsum(np.where(there, n, 0))].astype(np.int32)
+    return pa.ListArray.from_arrays(pa.array(offsets), pa.array(keys[there].ravel()), mask=pa.array(~there))
 
 
 def _hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -129,24 +135,26 @@ def _hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for at, pixels in decode(batch.column("image").to_pylist()):
             _, height, width, _ = pixels.shape
             c = canonical(pixels)
-            whole, bands = class_hash(c, height, width), band_hashes(c, height, width)
+            whole = class_hash(c, height, width)
+            own, probes, sketch = band_hashes(c, height, width)
             take = pa.array(at)
+            split = batch.column("split").take(take)
+            train = np.array([x == "train" for x in split.to_pylist()])
             yield pa.RecordBatch.from_arrays(
                 [
-                    batch.column("row_id").take(take), batch.column("split").take(take), batch.column("source").take(take),
-                    pa.array(whole[:, 0]), pa.array(whole[:, 1]),
-                    pa.ListArray.from_arrays(pa.array(np.arange(0, bands.size + 1, bands.shape[1], dtype=np.int32)), pa.array(bands.ravel())),
+                    batch.column("row_id").take(take), split, batch.column("source").take(take), pa.array(whole[:, 0]), pa.array(whole[:, 1]),
+                    _lists(own, train), _lists(probes.reshape(len(c), -1), ~train), pa.array(sketch),
                 ],
-                names=["row_id", "split", "source", "h1", "h2", "bands"],
+                names=["row_id", "split", "source", "h1", "h2", "bands", "probes", "sketch"],
             )
 
 
 def hashed(rows: DataFrame) -> DataFrame:
-    """row_id, split, source, h1, h2, bands for the rows of train, val and test whose pictures decode."""
+    """row_id, split, source, h1, h2, bands (train), probes (evaluation) and sketch for the rows of train, val and test whose pictures decode."""
     split = F.lower(F.regexp_replace("split", r"^\s+|\s+$", ""))
     wanted = rows.select(F.col("row_id").cast("bigint").alias("row_id"), "image", split.alias("split"), F.col("source").cast("string").alias("source"))
     wanted = wanted.where(F.col("split").isin("train", "val", "test") & F.col("image").isNotNull() & F.col("row_id").isNotNull())
-    return wanted.mapInArrow(_hashed, "row_id bigint, split string, source string, h1 bigint, h2 bigint, bands array<int>")
+    return wanted.mapInArrow(_hashed, "row_id bigint, split string, source string, h1 bigint, h2 bigint, bands array<int>, probes array<int>, sketch bigint")
 
 
 def _pixels(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -194,13 +202,14 @@ class Overlap:
     def __init__(self, rows: DataFrame, most: float = MOST):
         h = checkpointed(hashed(rows))
         classes = h.groupBy("h1", "h2").agg(
-            F.min("row_id").alias("rep"), F.max(F.col("split") != "train").alias("has_eval"), F.max(F.col("split") == "train").alias("has_train"), F.first("bands").alias("bands")
+            F.min("row_id").alias("rep"), F.max(F.col("split") != "train").alias("has_eval"), F.max(F.col("split") == "train").alias("has_train"), F.first("bands", True).alias("bands"), F.first("probes", True).alias("probes"), F.first("sketch").alias("sketch")
         )
         classes = checkpointed(classes)
-        self.members = h.drop("bands").join(classes.select("h1", "h2", "rep"), ["h1", "h2"]).drop("h1", "h2")
-        ev = classes.where("has_eval").select(F.col("rep").alias("rep_a"), F.posexplode("bands").alias("no", "band"))
-        tr = classes.where("has_train").select(F.col("rep").alias("rep_b"), F.posexplode("bands").alias("no", "band"))
-        met = checkpointed(ev.join(tr, ["no", "band"]).where("rep_a <> rep_b").select("rep_a", "rep_b").distinct())
+        self.members = h.select("row_id", "split", "source", "h1", "h2").join(classes.select("h1", "h2", "rep"), ["h1", "h2"]).drop("h1", "h2")
+        ev = classes.where("has_eval").select(F.col("rep").alias("rep_a"), F.col("sketch").alias("sketch_a"), F.explode("probes").alias("band"))
+        tr = classes.where("has_train").select(F.col("rep").alias("rep_b"), F.col("sketch").alias("sketch_b"), F.explode("bands").alias("band"))
+        close = F.bit_count(F.col("sketch_a").bitwiseXOR(F.col("sketch_b"))) <= SKETCH
+        met = checkpointed(ev.join(tr, "band").where((F.col("rep_a") != F.col("rep_b")) & close).select("rep_a", "rep_b").distinct())
         wanted = met.select(F.col("rep_a").alias("row_id")).union(met.select("rep_b")).distinct()
         grey = rows.select(F.col("row_id").cast("bigint").alias("row_id"), "image").join(wanted, "row_id", "left_semi").mapInArrow(_pixels, "row_id bigint, height int, grey binary")
         side = lambda x: grey.select(F.col("row_id").alias(f"rep_{x}"), F.col("height").alias(f"height_{x}"), F.col("grey").alias(f"grey_{x}"))
