@@ -12,6 +12,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from framemill.session import checkpointed, shuffle_width
+
 #: Rows that one range holds on average, and the most bits a range number may have.
 RANGE_ROWS, MOST_BITS = 20_000, 16
 
@@ -43,3 +45,26 @@ def running_total(df: DataFrame, by: list[str], order: str, ties: list[str], val
     inside = Window.partitionBy(*by, "_range_").orderBy(order, *ties).rowsBetween(Window.unboundedPreceding, -1)
     joined = ranged.join(starts, cond).withColumn("before", F.col("_start_") + F.coalesce(F.sum("_value_").over(inside), F.lit(0)))
     return joined.drop("_range_", "_value_", "_start_", "_at_", *groups)
+
+
+def positions(df: DataFrame, by: list[str], order: list[str], partitions: int | None = None) -> DataFrame:
+    """Adds ``position`` (0-based place in its group) and ``group_rows`` to every row, however large its group.
+
+    Rows are cut into ranges of (by, order) by sampled quantiles, so a large group
+    lies in several tasks; each task numbers its sorted rows, and the sizes of the
+    pieces of a group, at most one per task, give the offsets. ``order`` must make
+    the order total within a group. Nulls are a group of their own and sort first.
+    """
+    spark = df.sparkSession
+    n = partitions or 2 * shuffle_width(spark)
+    keys = [*by, *order]
+    # the range bounds are sampled, so the cut is written down before it is used twice
+    cut = checkpointed(df.repartitionByRange(n, *keys).sortWithinPartitions(*keys).withColumn("_piece_", F.spark_partition_id()).withColumn("_at_", F.monotonically_increasing_id()))
+    names = [f"_by{i}_" for i in range(len(by))]
+    pieces = cut.groupBy(*(F.col(c).alias(g) for c, g in zip(by, names)), F.col("_piece_").alias("_p_")).agg(F.min("_at_").alias("_first_"), F.count(F.lit(1)).alias("_n_"))
+    w = Window.partitionBy(*names) if names else Window.partitionBy(F.lit(0))
+    pieces = pieces.withColumn("_shift_", F.coalesce(F.sum("_n_").over(w.orderBy("_p_").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)) - F.col("_first_")).withColumn("group_rows", F.sum("_n_").over(w))
+    cond = F.col("_piece_") == F.col("_p_")
+    for c, g in zip(by, names):
+        cond = cond & F.col(c).eqNullSafe(F.col(g))
+    return cut.join(pieces, cond).withColumn("position", F.col("_at_") + F.col("_shift_")).drop("_piece_", "_at_", "_p_", "_first_", "_n_", "_shift_", *names)
