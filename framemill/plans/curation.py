@@ -115,15 +115,15 @@ def sign_phash(spark, d):
 
 @query(
     f"""with {_BITS}, h as (select *, row_number() over (partition by capture order by frame_idx) as rn from bits)
-  select a.capture, a.frame_idx as frame_a, b.frame_idx as frame_b, cast(len(list_filter(range(1, 65), x -> a.hash_bits[x] <> b.hash_bits[x])) as int) as distance
-  from h a join h b on a.capture = b.capture and b.rn between a.rn + 1 and a.rn + 3 where len(list_filter(range(1, 65), x -> a.hash_bits[x] <> b.hash_bits[x])) <= 24"""
+  select a.capture, a.frame_idx as frame_a, b.frame_idx as frame_b, cast(len(list_filter(range(1, 65), lambda x: a.hash_bits[x] <> b.hash_bits[x])) as int) as distance
+  from h a join h b on a.capture = b.capture and b.rn between a.rn + 1 and a.rn + 3 where len(list_filter(range(1, 65), lambda x: a.hash_bits[x] <> b.hash_bits[x])) <= 24"""
 )
 def phash_pairs(spark, d):
     """Pairs of a capture's frames at most three places apart and at most 24 bits: bounded by the places, not by the capture."""
     h = frames(spark, d).select("capture", "frame_idx", arrays.median_bits(F.col("frame")).alias("h"))
     w = Window.partitionBy("capture").orderBy("frame_idx")
     ahead = F.array(*(F.lead(F.struct("frame_idx", "h"), k).over(w) for k in (1, 2, 3)))
-    p = h.select("capture", F.col("frame_idx").alias("frame_a"), "h", F.explode(ahead).alias("b")).where("b is not null")
+    p = h.withColumn("ahead", ahead).select("capture", F.col("frame_idx").alias("frame_a"), "h", F.explode("ahead").alias("b")).where("b is not null")
     return p.select("capture", "frame_a", F.col("b.frame_idx").alias("frame_b"), arrays.hamming(F.col("h"), F.col("b.h")).alias("distance")).where("distance <= 24")
 
 
@@ -285,7 +285,7 @@ def touch_window(spark, d):
 
 
 @query(
-    """with e as (select vec_id, embedding, list_filter(range(0, len(embedding)), i -> embedding[i + 1] between 0.1 and 0.12) as inside from embeddings)
+    """with e as (select vec_id, embedding, list_filter(range(0, len(embedding)), lambda i: embedding[i + 1] between 0.1 and 0.12) as inside from embeddings)
   select vec_id, cast(case when len(inside) = 0 then len(embedding) else len(inside) end as int) as n, cast(case when len(inside) = 0 then 0 else inside[1] end as int) as first from e"""
 )
 def touch_positions(spark, d):
@@ -357,7 +357,7 @@ def corpus_buckets(spark, d):
     return _bucketed(spark, d).select("row_id", "domain", "sensor", "object_id", "gel")
 
 
-_EVEN = "{n} <= {t} or ({t} = 1 and p = 0) or ({t} > 1 and (p = {n} - 1 or exists (select 1 from range(0, {t} - 1) t(i) where floor(i * (cast({n} - 1 as double) / cast({t} - 1 as double))) = p)))"
+_EVEN = "{n} <= {t} or ({t} = 1 and p = 0) or ({t} > 1 and (p = {n} - 1 or exists (select 1 from range(0, {t} - 1) g(i) where floor(i * (cast({n} - 1 as double) / cast({t} - 1 as double))) = p)))"
 
 
 @query(
@@ -570,9 +570,9 @@ _SHAPES = ", ".join(f"'{s}'" for s in names.SHAPES_LATER)
 
 
 @query(
-    f"""with t as (select row_id, capture, string_split(capture, '_') as w from make_parquet where capture is not null), p as (select *, list_position([lower(x) in ({_SHAPES}) for x in w], true) as at from t)
+    f"""with t as (select row_id, capture, string_split(capture, '_') as w from make_parquet where capture is not null), p as (select *, list_position([lower(x) in ({_SHAPES}) for x in w], true) as k from t)
   select row_id, case when regexp_matches(capture, '{names.CAPTURE}') then regexp_extract(capture, '{names.CAPTURE}', 1) end as obj_name, try_cast(case when regexp_matches(capture, '{names.CAPTURE}') then regexp_extract(capture, '{names.CAPTURE}', 2) end as int) as init_pose,
-    case when ends_with(capture, '_left') then 'left' when ends_with(capture, '_right') then 'right' end as side, case when at > 0 then lower(w[at]) else 'unknown' end as indenter, case when at > 0 then coalesce(w[at + 1], '') else '' end as indenter_param, w[1] as prefix,
+    case when ends_with(capture, '_left') then 'left' when ends_with(capture, '_right') then 'right' end as side, case when k > 0 then lower(w[k]) else 'unknown' end as indenter, case when k > 0 then coalesce(w[k + 1], '') else '' end as indenter_param, w[1] as prefix,
     coalesce(try_cast(case when regexp_matches(w[-1], '^[0-9]+$') then w[-1] end as int), -1) as number from p"""
 )
 def name_parse(spark, d):
