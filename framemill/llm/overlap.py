@@ -26,15 +26,15 @@ from framemill.session import checkpointed
 #: Grey levels of mean absolute difference up to which two pictures are near-same.
 MOST = 4.0
 #: Contrasts per band, and the grid width in standard deviations that grey noise of NOISE levels gives a contrast.
-CONTRASTS, WIDTH, NOISE = 20, 2.3, 7.5
+CONTRASTS, WIDTH, NOISE = 20, 2.4, 7.5
 #: Cells that evaluation pictures look into per band: their own, those across the nearest SINGLES grid lines, those across two of the nearest PAIRS.
-SINGLES, PAIRS = 6, 3
+SINGLES, PAIRS = 8, 4
 #: Grey levels from its mean beyond which a pixel counts as that far, so that a spot does not outweigh the picture.
 CLIP = 32
 #: Cells per side to which larger pictures are averaged before they are hashed (the distance is always of all pixels).
 SIDE = 32
 #: Bits of 64 in which the sketches of near pictures may differ; unrelated ones differ in about half.
-SKETCH = 20
+SKETCH = 22
 
 _PLANS: dict = {}
 _ODD: dict = {}
