@@ -47,8 +47,8 @@ def running_total(df: DataFrame, by: list[str], order: str, ties: list[str], val
     return joined.drop("_range_", "_value_", "_start_", "_at_", *groups)
 
 
-def positions(df: DataFrame, by: list[str], order: list[str], partitions: int | None = None) -> DataFrame:
-    """Adds ``position`` (0-based place in its group) and ``group_rows`` to every row, however large its group.
+def positions(df: DataFrame, by: list[str], order: list[str], partitions: int | None = None, place: str = "position", rows: str = "group_rows") -> DataFrame:
+    """Adds ``place`` (0-based in its group) and ``rows`` (of the group) to every row, however large its group.
 
     Rows are cut into ranges of (by, order) by sampled quantiles, so a large group
     lies in several tasks; each task numbers its sorted rows, and the sizes of the
@@ -63,8 +63,8 @@ def positions(df: DataFrame, by: list[str], order: list[str], partitions: int |
     names = [f"_by{i}_" for i in range(len(by))]
     pieces = cut.groupBy(*(F.col(c).alias(g) for c, g in zip(by, names)), F.col("_piece_").alias("_p_")).agg(F.min("_at_").alias("_first_"), F.count(F.lit(1)).alias("_n_"))
     w = Window.partitionBy(*names) if names else Window.partitionBy(F.lit(0))
-    pieces = pieces.withColumn("_shift_", F.coalesce(F.sum("_n_").over(w.orderBy("_p_").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)) - F.col("_first_")).withColumn("group_rows", F.sum("_n_").over(w))
+    pieces = pieces.withColumn("_shift_", F.coalesce(F.sum("_n_").over(w.orderBy("_p_").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)) - F.col("_first_")).withColumn(rows, F.sum("_n_").over(w))
     cond = F.col("_piece_") == F.col("_p_")
     for c, g in zip(by, names):
         cond = cond & F.col(c).eqNullSafe(F.col(g))
-    return cut.join(pieces, cond).withColumn("position", F.col("_at_") + F.col("_shift_")).drop("_piece_", "_at_", "_p_", "_first_", "_n_", "_shift_", *names)
+    return cut.join(pieces, cond).withColumn(place, F.col("_at_") + F.col("_shift_")).drop("_piece_", "_at_", "_p_", "_first_", "_n_", "_shift_", *names)

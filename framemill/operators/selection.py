@@ -5,7 +5,12 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from framemill.functions.ranks import positions, running_total  # noqa: F401
+from framemill.functions import ranks
+
+
+def _placed(df: DataFrame, by: list[str], order: list[str]) -> DataFrame:
+    """Adds _place_ and _rows_, names that no table here bears."""
+    return ranks.positions(df, by, order, place="_place_", rows="_rows_")
 
 
 def even_cap(df: DataFrame, by: list[str], order: list[str], target: int | Column) -> DataFrame:
@@ -16,28 +21,28 @@ def even_cap(df: DataFrame, by: list[str], order: list[str], target: int | Colum
     for a target of 1, none for 0.
     """
     t = F.lit(target) if isinstance(target, int) else target
-    r = positions(df.withColumn("_t_", t.cast("bigint")), by, order)
-    n, p, t = F.col("group_rows"), F.col("position"), F.col("_t_")
+    r = _placed(df.withColumn("_t_", t.cast("bigint")), by, order)
+    n, p, t = F.col("_rows_"), F.col("_place_"), F.col("_t_")
     step = (n - 1).cast("double") / (t - 1).cast("double")
     i = F.floor(p / step)
     hit = lambda k: (i + k >= 0) & (i + k < t - 1) & (F.floor((i + k).cast("double") * step) == p)
     keep = F.when(t < 1, F.lit(False)).when(n <= t, F.lit(True)).when(t == 1, p == 0).otherwise((p == n - 1) | hit(-1) | hit(0) | hit(1))
-    return r.where(keep).drop("_t_", "position", "group_rows")
+    return r.where(keep).drop("_t_", "_place_", "_rows_")
 
 
 def stride_cap(df: DataFrame, by: list[str], order: list[str], budget: int) -> DataFrame:
     """At most budget rows of each group: places floor(i * (n / budget)) for i below budget; all rows where there are no more."""
-    r = positions(df, by, order)
-    n, p = F.col("group_rows"), F.col("position")
+    r = _placed(df, by, order)
+    n, p = F.col("_rows_"), F.col("_place_")
     step = n.cast("double") / F.lit(float(budget))
     i = F.floor(p / step)
     hit = lambda k: (i + k >= 0) & (i + k < budget) & (F.floor((i + k).cast("double") * step) == p)
-    return r.where((n <= budget) | hit(-1) | hit(0) | hit(1)).drop("position", "group_rows")
+    return r.where((n <= budget) | hit(-1) | hit(0) | hit(1)).drop("_place_", "_rows_")
 
 
 def row_stride(df: DataFrame, order: list[str], stride: int) -> DataFrame:
     """Every stride-th row of the whole order, from the first."""
-    return positions(df, [], order).where(F.col("position") % stride == 0).drop("position", "group_rows")
+    return _placed(df, [], order).where(F.col("_place_") % stride == 0).drop("_place_", "_rows_")
 
 
 def auto_stride(rows: Column, per_row: Column, rate: Column, target: Column) -> Column:
@@ -103,7 +108,7 @@ def bernoulli_drawn(df: DataFrame, order: list[str], failing: Column, rate: floa
     The numbers are drawn on the executors by rank: each task advances its own generator to its ranks.
     """
     fails = F.coalesce(failing, F.lit(True))
-    bad = positions(df.where(fails), [], order)
+    bad = _placed(df.where(fails), [], order)
     schema = bad.schema
 
     def keep(batches):
@@ -111,7 +116,7 @@ def bernoulli_drawn(df: DataFrame, order: list[str], failing: Column, rate: floa
 
         rng, at, value = random.Random(seed), -1, 0.0
         for b in batches:
-            wanted = sorted(set(b["position"]))
+            wanted = sorted(set(b["_place_"]))
             drawn = {}
             for p in wanted:
                 if p < at:
@@ -119,16 +124,16 @@ def bernoulli_drawn(df: DataFrame, order: list[str], failing: Column, rate: floa
                 while at < p:
                     value, at = rng.random(), at + 1
                 drawn[p] = value
-            yield b[b["position"].map(drawn) < rate]
+            yield b[b["_place_"].map(drawn) < rate]
 
-    return df.where(~fails).unionByName(bad.sortWithinPartitions("position").mapInPandas(keep, schema).drop("position", "group_rows"))
+    return df.where(~fails).unionByName(bad.sortWithinPartitions("_place_").mapInPandas(keep, schema).drop("_place_", "_rows_"))
 
 
 def every_kth(df: DataFrame, by: list[str], order: list[str], most: int = 50) -> DataFrame:
     """Of each group every k-th row, k = rows div most (1 at least), at most ``most`` rows."""
-    r = positions(df, by, order)
-    k = F.greatest(F.lit(1), F.floor(F.col("group_rows") / most))
-    return r.where((F.col("position") % k == 0) & (F.col("position") / k < most)).drop("position", "group_rows")
+    r = _placed(df, by, order)
+    k = F.greatest(F.lit(1), F.floor(F.col("_rows_") / most))
+    return r.where((F.col("_place_") % k == 0) & (F.col("_place_") / k < most)).drop("_place_", "_rows_")
 
 
 def first_per_key(df: DataFrame, by: list[str], order: list[str], limit: int | None = None) -> DataFrame:
@@ -145,7 +150,7 @@ def probe_cap(df: DataFrame, by: list[str], order: list[str], per_group: int = 3
 
 def renumber(df: DataFrame, sequence: str, order: list[str]) -> DataFrame:
     """Adds frame_in_seq (0-based) and sequence_length to rows of each sequence."""
-    return positions(df, [sequence], order).withColumnRenamed("position", "frame_in_seq").withColumnRenamed("group_rows", "sequence_length")
+    return _placed(df.drop("frame_in_seq", "sequence_length"), [sequence], order).withColumnRenamed("_place_", "frame_in_seq").withColumnRenamed("_rows_", "sequence_length")
 
 
 def run_ids(df: DataFrame, key: str, order: list[str], by: list[str]) -> DataFrame:
@@ -172,7 +177,7 @@ def per_shape_buffered(frames: DataFrame, shape: list[str], order: list[str], co
 def systematic(df: DataFrame, order: list[str], n: int, scanned: int = 8000) -> DataFrame:
     """Every max(1, scanned // n)-th row in order, n rows at most."""
     k = max(1, scanned // max(n, 1))
-    return positions(df, [], order).where((F.col("position") % k == 0) & (F.col("position") < k * n)).drop("position", "group_rows")
+    return _placed(df, [], order).where((F.col("_place_") % k == 0) & (F.col("_place_") < k * n)).drop("_place_", "_rows_")
 
 
 def hash_sample(df: DataFrame, key: list[str], n: int, seed: int = 0) -> DataFrame:
