@@ -22,6 +22,17 @@ def _files(spark: SparkSession, root: str, glob: str) -> DataFrame:
     return spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", glob).load(root).select("path", "content")
 
 
+def _text(spark: SparkSession, path: str) -> str:
+    """A small file's text; Spark's own sources pass over names that start with a dot."""
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    stream = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).open(p)
+    try:
+        return jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+    finally:
+        stream.close()
+
+
 class _Plain(pickle.Unpickler):
     """Builds arrays, numbers, texts and containers only."""
 
@@ -88,7 +99,7 @@ def pickled_pictures(spark: SparkSession, root: str, skip: str = "org_") -> Data
 
 def zarr_frames(spark: SparkSession, root: str) -> DataFrame:
     """Frames of a zarr (format 2) array cut along its first axis: one task row per chunk. Compression: none, zlib or zstd."""
-    meta = json.loads(bytes(spark.read.format("binaryFile").load(f"{root}/.zarray").first().content))
+    meta = json.loads(_text(spark, f"{root}/.zarray"))
     shape, chunk, dtype = meta["shape"], meta["chunks"], np.dtype(meta["dtype"])
     if chunk[1:] != shape[1:] or meta.get("filters"):
         raise ValueError("only arrays that are cut along the first axis, without filters")
