@@ -58,3 +58,30 @@ def head_consumed(frames: DataFrame, group: list[str], order: list[str], column:
 def keep_or(decision: Column, base: Column) -> Column:
     """A frame without a base is kept whatever the decision."""
     return base.isNull() | decision
+
+
+def strategy(kind: str, frames: DataFrame, column: str, group: list[str], order: list[str], n: int | None = None, seed: int = 0, least: int = 1, explicit: DataFrame | None = None) -> DataFrame | None:
+    """The bases of a strategy: group..., base, or None for 'none'.
+
+    'first_n': the first n (10) frames of a group. 'random_group', 'random_all':
+    n (100; 120) frames of each group, of all frames. 'per_touch': all frames of
+    a group, or its first n. 'explicit': given as group..., base. Groups with fewer
+    than ``least`` chosen frames have no base; 'random_all' gives one row, without group.
+    """
+    if kind == "none":
+        return None
+    if kind == "explicit":
+        if explicit is None:
+            raise ValueError("an explicit baseline must be given")
+        return explicit.select(*group, "base")
+    if kind == "random_all":
+        return elementwise(random_n(frames, [], [*group, *order], n or 120, seed), [], column)
+    if kind == "first_n":
+        chosen = first_n(frames, group, order, n or 10)
+    elif kind == "random_group":
+        chosen = random_n(frames, group, order, n or 100, seed)
+    elif kind == "per_touch":
+        chosen = frames if n is None else first_n(frames, group, order, n)
+    else:
+        raise ValueError(f"unknown baseline {kind!r}")
+    return elementwise(at_least(chosen, group, least) if least > 1 else chosen, group, column)

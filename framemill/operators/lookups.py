@@ -5,15 +5,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-#: Rows that a side table may hold to be sent to every task; larger ones are joined by shuffle.
-MOST_BROADCAST = 100_000
-
-
-def small(side: DataFrame) -> DataFrame:
-    """The side, marked for broadcast if its counted rows allow it."""
-    return F.broadcast(side) if len(side.limit(MOST_BROADCAST + 1).select(F.lit(1)).collect()) <= MOST_BROADCAST else side
-
-
 def with_poses(frames: DataFrame, poses: DataFrame, keys: list[str], values: list[str]) -> DataFrame:
     """Left join; values are read as float, unreadable ones and frames without a pose give null. A key that repeats in poses counts once, with its smallest values."""
     side = poses.groupBy(*keys).agg(F.min(F.struct(*(F.col(v).try_cast("float").alias(v) for v in values))).alias("_p_")).select(*keys, "_p_.*")

@@ -85,3 +85,19 @@ def grid_summary(grid: Column, force: Column) -> Column:
         (F.aggregate(grid, F.lit(0.0), lambda s, x: s + x.cast("double")) / F.when(n > 0, n)).cast("float").alias("grid_z_mean"),
         F.coalesce(force, F.lit(0.0)).cast("float").alias("force"),
     )
+
+
+# Gel by split of the force-labelled source; other splits are 'unknown'.
+GEL_BY_SPLIT = {
+    "train": "black_dot",
+    "val": "black_dot",
+    "test": "black_dot",
+    "test_unknown_indenters": "black_dot",
+    "test_diff_sensor_old_gel": "black_dot",
+    "test_diff_sensor_new_gel": "different",
+}
+
+
+def gel_by_split(split: Column) -> Column:
+    pairs = F.create_map(*(F.lit(x) for kv in GEL_BY_SPLIT.items() for x in kv))
+    return F.coalesce(F.element_at(pairs, split), F.lit("unknown"))

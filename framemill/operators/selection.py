@@ -103,7 +103,7 @@ def bernoulli_md5(key: Column, rate: float, seed: str = "") -> Column:
 
 
 def bernoulli_drawn(df: DataFrame, order: list[str], failing: Column, rate: float, seed: int) -> DataFrame:
-    """Reference draws: the k-th failing row in order takes the k-th number of Python's seeded generator; passing rows draw nothing and stay.
+    """Sequential draws: the k-th failing row in order takes the k-th number of Python's seeded generator; passing rows draw nothing and stay.
 
     The numbers are drawn on the executors by rank: each task advances its own generator to its ranks.
     """

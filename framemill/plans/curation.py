@@ -170,7 +170,7 @@ def bernoulli_stable(spark, d):
 
 
 @query()
-def bernoulli_reference(spark, d):
+def bernoulli_drawn(spark, d):
     return selection.bernoulli_drawn(table(spark, d, "events").select("event_id", "value"), ["event_id"], F.col("value") < 50, 0.1, 0)
 
 

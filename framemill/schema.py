@@ -156,3 +156,12 @@ for _s in (
     SourceSpec("fota_unlabeled", "real", "mixed", "main", 10, baseline="random_group", phash_dist=1, phash_lookback=5),
 ):
     register(_s)
+
+
+def projected(frames: DataFrame, s: SourceSpec, extra: tuple[str, ...] = ()) -> DataFrame:
+    """Corpus rows of a source's frames: constants from its spec, fields from the frame; ``extra`` columns of frames win over both where not null."""
+    constant = {"source": F.lit(s.name), "domain": F.lit(s.domain), "markered": F.lit(s.markered), "gel_variant": F.lit(s.gel_variant)}
+    out = frames
+    for name, value in constant.items():
+        out = out.withColumn(name, F.coalesce(F.col(name), value) if name in extra and name in frames.columns else value)
+    return conform(out)
