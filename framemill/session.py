@@ -28,7 +28,12 @@ def checkpointed(df: DataFrame) -> DataFrame:
                 raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
             folder = tempfile.mkdtemp(prefix="framemill-checkpoint-")
         sc.setCheckpointDir(folder)
-    return df.checkpoint(eager=True)
+    done = df.checkpoint(eager=True)
+    # A checkpoint inherits the size estimate of its plan, and estimates multiply at every join: over a few
+    # rounds of an iteration they become numbers of millions of digits. The rows alone carry no estimate.
+    session = df.sparkSession
+    plain = session._jsparkSession.internalCreateDataFrame(done._jdf.queryExecution().toRdd(), done._jdf.schema(), False)
+    return DataFrame(plain, session)
 
 
 def loose(text: Column) -> Column:
