@@ -56,6 +56,15 @@ def _times(text: Column, pattern: str) -> Column:
     return F.regexp_count(text, F.lit(pattern))
 
 
+def _chars(text: Column, runs: str) -> Column:
+    """Characters in runs of a kind: the runs are cut out, which makes one text where counting would make one per character."""
+    return F.length(text) - F.length(F.regexp_replace(text, runs, ""))
+
+
+def _signs(text: Column, sign: str) -> Column:
+    return F.length(text) - F.length(F.replace(text, F.lit(sign), F.lit("")))
+
+
 def lines(documents: DataFrame, common: list[str]) -> DataFrame:
     """doc_id, at and the FEATURES of every line that is not blank; whole texts, whatever their length.
 
@@ -69,14 +78,14 @@ def lines(documents: DataFrame, common: list[str]) -> DataFrame:
     near = lambda c, by: F.when((F.col("at") + by >= 0) & (F.col("at") + by < n), F.get(c, F.col("at") + by))
     best = lambda c: F.greatest(F.coalesce(near(c, -1), F.lit(0)), F.coalesce(near(c, 1), F.lit(0)))
     low, size = F.lower("line"), F.get("_size_", F.col("at"))
-    letters, words = _times(F.col("line"), r"\p{L}"), _times(F.col("line"), r"\p{L}+")
+    letters, words = _chars(F.col("line"), r"\p{L}+"), _times(F.col("line"), r"\p{L}+")
     share = lambda x: x / F.greatest(size, F.lit(1))
     per_word = lambda x: x / F.greatest(words, F.lit(1))
     tokens = F.split(F.trim(low), r"\s+")
     measured = {
         "length": size, "words": words, "word_length": per_word(letters), "common": per_word(_times(low, common_pattern(common))),
-        "letters": share(letters), "digits": share(_times(F.col("line"), r"\p{N}")), "symbols": share(_times(F.col("line"), r"[^\p{L}\p{N}\s]")),
-        "foreign": share(_times(F.col("line"), r"[^\x00-\x7FäöüÄÖÜßáéíóúñàèùâêîôûëïçÁÉÍÓÚÑÀÈÙÂÊÎÔÛËÏÇœ¿¡’‘“”«»±°•–—…]")),
+        "letters": share(letters), "digits": share(_chars(F.col("line"), r"\p{N}+")), "symbols": share(_chars(F.col("line"), r"[^\p{L}\p{N}\s]+")),
+        "foreign": share(_chars(F.col("line"), r"[^\x00-\x7FäöüÄÖÜßáéíóúñàèùâêîôûëïçÁÉÍÓÚÑÀÈÙÂÊÎÔÛËÏÇœ¿¡’‘“”«»±°•–—…]+")),
         "cells": F.get("_cells_", F.col("at")), "cells_near": best("_cells_"), "marked": F.get("_mark_", F.col("at")),
         "marked_near": F.coalesce(near("_mark_", -1), F.lit(0)) + F.coalesce(near("_mark_", 1), F.lit(0)),
         "ends": F.col("line").rlike(r"[.!?…]['\"”’)]*\s*$").cast("int"), "distinct": F.size(F.array_distinct(tokens)) / F.size(tokens),
@@ -90,7 +99,7 @@ def lines(documents: DataFrame, common: list[str]) -> DataFrame:
 
 def _cells(line: Column) -> Column:
     """Cells of a line under the separator that makes most: bars, tabs, semicolons, commas without a blank, wide gaps."""
-    return 1 + F.greatest(_times(line, r"\|"), _times(line, r"\t"), _times(line, r";(?! )"), _times(line, r",(?! )"), _times(line, r"\S {2,}(?=\S)"))
+    return 1 + F.greatest(_signs(line, "|"), _signs(line, "\t"), _times(line, r";(?! )"), _times(line, r",(?! )"), _times(line, r"\S {2,}(?=\S)"))
 
 
 def statistics(documents: DataFrame, common: list[str]) -> DataFrame:
