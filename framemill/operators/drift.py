@@ -1,7 +1,7 @@
 """Schemas that drift from file to file: catalogue, change log, alias table, one consistent table.
 
-Every line is opened once into (field, JSON type) rows, which are aggregated
-into a catalogue per file, the footer of a text file. ``lag`` over the files of a
+Every line is opened into (field, JSON type) rows, which are aggregated into a
+catalogue per file, the footer of a text file. ``lag`` over the files of a
 build gives starts and endings of each field and type; consecutive files form
 islands, the life spans. A field that ends where another starts is a rename when
 the values on the records common to both files are equal. Renames make an alias
@@ -13,7 +13,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from framemill.session import free_name
+from framemill.session import checkpointed
 
 #: Distinct field names that the alias table may hold on the driver; a schema, not data, so beyond it the input is no set of tables.
 MAX_NAMES = 100_000
@@ -37,19 +37,27 @@ def _kind(v: Column) -> Column:
 
 
 def opened(lines: DataFrame) -> DataFrame:
-    """build_id, producer, file_no, row_id, field, kind, value: one row per line and field.
+    """build_id, producer, file_no, line_no, row_id, fields: one row per line that is a valid JSON object.
 
-    Lines that are not valid JSON objects give nothing (an object that names a
-    field twice counts as broken). value is a text in which equal JSON values of
-    one type are equal: numbers by value, so 1, 1.0 and 1e0 agree.
+    fields maps each name to (kind, value); an object that names a field twice
+    counts as broken. value is a text in which equal JSON values of one type are
+    equal: numbers by value, so 1, 1.0 and 1e0 agree; null for null.
     """
-    doc = lines.select("build_id", "producer", "file_no", F.try_parse_json(F.col("payload")).alias("doc")).where("doc is not null")
-    flat = doc.sparkSession.sql("select build_id, producer, file_no, try_variant_get(doc, '$.row_id', 'bigint') as row_id, e.key as field, e.value as v from {doc}, lateral variant_explode(doc) as e where e.key is not null", doc=doc)
-    kind = _kind(F.col("v"))
-    number = F.try_variant_get("v", "$", "double")
-    exact = F.when(F.abs(number) >= 2.0**53, F.to_json("v")).otherwise("")
-    value = F.when(kind == "number", F.concat(number.cast("string"), exact)).when(kind == "string", F.try_variant_get("v", "$", "string")).when(kind.isNotNull(), F.to_json("v"))
-    return flat.select("build_id", "producer", "file_no", "row_id", "field", kind.alias("kind"), value.alias("value"))
+    number = lambda v: F.try_variant_get(v, "$", "double")
+
+    def value(v: Column, kind: Column) -> Column:
+        exact = F.when(F.abs(number(v)) >= 2.0**53, F.to_json(v)).otherwise("")
+        return F.when(kind == "number", F.concat(number(v).cast("string"), exact)).when(kind == "string", F.try_variant_get(v, "$", "string")).when(kind.isNotNull(), F.to_json(v))
+
+    doc = lines.select("build_id", "producer", "file_no", "line_no", F.try_parse_json(F.col("payload")).alias("doc"))
+    doc = doc.withColumn("map", F.try_variant_get("doc", "$", "map<string,variant>")).where("map is not null")
+    fields = F.transform_values("map", lambda _, v: F.struct(_kind(v).alias("kind"), value(v, _kind(v)).alias("value")))
+    return doc.select("build_id", "producer", "file_no", "line_no", F.try_variant_get("doc", "$.row_id", "bigint").alias("row_id"), fields.alias("fields"))
+
+
+def named(lines: DataFrame) -> DataFrame:
+    """build_id, producer, file_no, field, kind: one row per line and field."""
+    return opened(lines).select("build_id", "producer", "file_no", F.explode("fields").alias("field", "v")).select("build_id", "producer", "file_no", "field", "v.kind")
 
 
 def catalogue(values: DataFrame) -> DataFrame:
@@ -74,7 +82,7 @@ def _presence(lines: DataFrame, values: DataFrame) -> DataFrame:
 
 def lifespans(lines: DataFrame) -> DataFrame:
     """Islands of consecutive files per producer, build, field and JSON type ('' where only nulls were seen)."""
-    one = catalogue(opened(lines)).select("producer", "build_id", "file_no", "field", F.explode(F.when(F.size("kinds") == 0, F.array(F.lit(""))).otherwise(F.col("kinds"))).alias("kind"), "lines")
+    one = catalogue(named(lines)).select("producer", "build_id", "file_no", "field", F.explode(F.when(F.size("kinds") == 0, F.array(F.lit(""))).otherwise(F.col("kinds"))).alias("kind"), "lines")
     w = Window.partitionBy("build_id", "producer", "field", "kind").orderBy("file_no")
     start = F.when(F.lag("file_no").over(w) == F.col("file_no") - 1, 0).otherwise(1)
     island = one.withColumn("start", start).withColumn("island", F.sum("start").over(w))
@@ -94,23 +102,32 @@ def changes(lines: DataFrame) -> DataFrame:
     given. Repeated lines count once, broken lines not at all; files of broken
     lines only have no fields. Extra columns of ``lines`` are ignored.
     """
-    values = opened(lines)
-    p = _presence(lines, values)
+    p = checkpointed(_presence(lines, named(lines)))  # a row per file and field, used four times
     gone = p.where("has_after and (after is null or after <> file_no + 1)").select("build_id", (F.col("file_no") + 1).alias("file_no"), F.col("field").alias("old_name"))
     new = p.where("has_before and (before is null or before <> file_no - 1)").select("build_id", "file_no", F.col("field").alias("new_name"))
     retyped = p.where("before = file_no - 1 and size(kinds) > 0 and size(kinds_before) > 0 and kinds <> kinds_before").select(
         "build_id", "file_no", F.lit("retyped").alias("drift"), F.col("field").alias("old_name"), F.col("field").alias("new_name")
     )
-    # equal values on all common records: as many equal pairs as values on either side
-    rows = values.where("row_id is not null").select("build_id", "file_no", "row_id").distinct()
-    at_old = rows.select("build_id", (F.col("file_no") + 1).alias("file_no"), "row_id")
-    held = values.where("kind is not null and row_id is not null").select("build_id", "file_no", "row_id", "field", "kind", "value").distinct()
-    both = ["build_id", "file_no", "row_id"]
-    old = held.select("build_id", (F.col("file_no") + 1).alias("file_no"), "row_id", F.col("field").alias("old_name"), "kind", "value").join(gone, ["build_id", "file_no", "old_name"]).join(rows, both, "left_semi")
-    fresh = held.withColumnRenamed("field", "new_name").join(new, ["build_id", "file_no", "new_name"]).join(at_old, both, "left_semi")
-    n_old = old.groupBy("build_id", "file_no", "old_name").agg(F.count(F.lit(1)).alias("n_old"))
-    n_new = fresh.groupBy("build_id", "file_no", "new_name").agg(F.count(F.lit(1)).alias("n_new"))
-    equal = old.join(fresh, [*both, "kind", "value"]).groupBy("build_id", "file_no", "old_name", "new_name").agg(F.count(F.lit(1)).alias("n"))
+    # Records common to neighbouring files meet in one shuffle of lines. A renamed pair has as many equal values as
+    # either side has values; what a line tells of it is counted before anything is shuffled again.
+    w = Window.partitionBy("build_id", "row_id").orderBy("file_no", "line_no")
+    each = opened(lines).where("row_id is not null").select("build_id", "row_id", "file_no", "line_no", F.map_filter("fields", lambda _, v: v["kind"].isNotNull()).alias("held"), F.map_keys("fields").alias("names"))
+    each = each.withColumn("repeat", F.coalesce(F.lag("file_no").over(w) == F.col("file_no"), F.lit(False))).where("not repeat")
+    each = each.withColumns({"next_file": F.lead("file_no").over(w), "next_held": F.lead("held").over(w), "next_names": F.lead("names").over(w)}).where("next_file = file_no + 1")
+    lost = F.filter(F.map_entries("held"), lambda e: ~F.array_contains("next_names", e["key"]))
+    come = F.filter(F.map_entries("next_held"), lambda e: ~F.array_contains("names", e["key"]))
+    each = each.select("build_id", F.col("next_file").alias("file_no"), lost.alias("lost"), come.alias("come")).where("size(lost) > 0 or size(come) > 0")
+    told = F.concat(
+        F.transform("lost", lambda o: F.struct(o["key"].alias("old_name"), F.lit("").alias("new_name"))),
+        F.transform("come", lambda n: F.struct(F.lit("").alias("old_name"), n["key"].alias("new_name"))),
+        F.flatten(F.transform("lost", lambda o: F.transform(F.filter("come", lambda n: n["value"] == o["value"]), lambda n: F.struct(o["key"].alias("old_name"), n["key"].alias("new_name"))))),
+    )
+    counts = each.select("build_id", "file_no", F.explode(told).alias("t")).groupBy("build_id", "file_no", "t.old_name", "t.new_name").agg(F.count(F.lit(1)).alias("n"))
+    counts = checkpointed(counts)
+    # a field that is called '' can't be told from none; it takes no part in renames
+    equal = counts.where("old_name <> '' and new_name <> ''").join(gone, ["build_id", "file_no", "old_name"], "left_semi").join(new, ["build_id", "file_no", "new_name"], "left_semi")
+    n_old = counts.where("new_name = ''").select("build_id", "file_no", "old_name", F.col("n").alias("n_old"))
+    n_new = counts.where("old_name = ''").select("build_id", "file_no", "new_name", F.col("n").alias("n_new"))
     pairs = equal.join(n_old, ["build_id", "file_no", "old_name"]).join(n_new, ["build_id", "file_no", "new_name"]).where("n = n_old and n = n_new")
     renamed = pairs.select("build_id", "file_no", F.lit("renamed").alias("drift"), "old_name", "new_name")
     removed = gone.join(renamed, ["build_id", "file_no", "old_name"], "left_anti").select("build_id", "file_no", F.lit("removed").alias("drift"), "old_name", F.lit("").alias("new_name"))
@@ -156,20 +173,21 @@ def _cast(kind: Column, value: Column, to: str) -> Column:
 def consistent(lines: DataFrame, log: DataFrame, fields: dict[str, str] = FIELDS) -> DataFrame:
     """All lines as one table: build_id, producer, file_no, row_id, the fields in their types, extras.
 
-    One row per distinct record of a file; a repeated line counts once. Aliases
-    are read as the field they stand for; lists become texts joined by '_',
+    One row per record of a file, from its first line; repeated lines add nothing.
+    Aliases are read as the field they stand for, the field's own name first; lists become texts joined by '_',
     'yes'/'no'/1/0 booleans, padded digits numbers; what can't be read in the
     field's type is null. Fields without a place in the schema go to ``extras``
     (name -> text). Lines that are not valid JSON, or have no row_id, give no row.
     """
     alias = alias_table(log, fields)
-    values = opened(lines).where("row_id is not null")
-    names = [n for n in alias if n != "row_id"]
-    to = F.create_map(*(F.lit(x) for n in names for x in (n, alias[n])))
-    values = values.where("field <> 'row_id'").withColumn("name", F.element_at(to, F.col("field")))
-    extra = free_name(values, "extra")
-    values = values.withColumn(extra, F.when(F.col("name").isNull() & F.col("kind").isNotNull(), F.struct("field", "value")))
-    held = [
-        F.max(F.when(F.col("name") == f, _cast(F.col("kind"), F.col("value"), kind))).alias(f) for f, kind in fields.items()
-    ]
-    return values.groupBy("build_id", "producer", "file_no", "row_id").agg(*held, F.map_from_entries(F.array_sort(F.collect_set(extra))).alias("extras"))
+    held = opened(lines).where("row_id is not null")
+
+    def field(name: str, to: str) -> Column:
+        said = [F.element_at("fields", F.lit(n)) for n in sorted((n for n in alias if alias[n] == name), key=lambda n: (n != name, n))]
+        v = F.coalesce(*(F.when(x["kind"].isNotNull(), x) for x in said))
+        return _cast(v["kind"], v["value"], to).alias(name)
+
+    known = F.array(*(F.lit(n) for n in alias))
+    extras = F.transform_values(F.map_filter("fields", lambda k, v: v["kind"].isNotNull() & ~F.array_contains(known, k)), lambda _, v: v["value"])
+    row = held.select("build_id", "producer", "file_no", "row_id", "line_no", F.struct(*(field(f, t) for f, t in fields.items()), extras.alias("extras")).alias("_row_"))
+    return row.groupBy("build_id", "producer", "file_no", "row_id").agg(F.min_by("_row_", "line_no").alias("_row_")).select("build_id", "producer", "file_no", "row_id", "_row_.*")
