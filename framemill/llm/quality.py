@@ -22,6 +22,9 @@ MAX_COMMON = 20_000
 #: What opens a list entry (bullets, boxes, numbers, letters).
 MARKER = r"^\s*(?:[-*•·–—+>◦‣▪→]|\[[ xX]\]|\(?(?:[0-9]{1,4}|[A-Za-z]|[ivxIVX]{1,5})[.)])\s+\S"
 
+#: A semicolon that parts cells: not one that ends a clause, a character entity or a call.
+SEMICOLON = r"(?<!&#?\w{1,6})(?<!\));(?! )"
+
 #: Numeric features of a line, in the order in which training sees them.
 FEATURES = (
     "length", "words", "word_length", "common", "letters", "digits", "symbols", "foreign", "cells", "cells_near", "marked", "marked_near",
@@ -29,18 +32,8 @@ FEATURES = (
 )
 
 
-def common_pattern(words: list[str]) -> str:
-    """A pattern that matches any of the words as a whole word; grouped by first letter, so that most positions fail at once."""
-    by: dict[str, list[str]] = {}
-    for w in sorted(set(words)):
-        by.setdefault(w[0], []).append(w[1:])
-    quote = lambda s: "".join(c if c.isalnum() else f"\\{c}" for c in s)
-    branches = [f"{quote(a)}(?:{'|'.join(quote(r) for r in sorted(rest, key=lambda r: (-len(r), r)))})" for a, rest in by.items()]
-    return rf"(?<!\p{{L}})(?:{'|'.join(branches)})(?!\p{{L}})" if branches else r"(?!)"
-
-
 def common_list(common: DataFrame) -> list[str]:
-    """The distinct words of a common_words table (lang, word); nulls and blanks are passed over."""
+    """The distinct words of a common_words table (lang, word), in lower case; nulls and blanks are passed over."""
     rows = common.select(F.lower(F.trim("word")).alias("word")).where("word is not null and word <> ''").distinct().limit(MAX_COMMON + 1).collect()
     if len(rows) > MAX_COMMON:
         raise ValueError(f"more than {MAX_COMMON} common words")
@@ -68,7 +61,8 @@ def _signs(text: Column, sign: str) -> Column:
 def lines(documents: DataFrame, common: list[str]) -> DataFrame:
     """doc_id, at and the FEATURES of every line that is not blank; whole texts, whatever their length.
 
-    Null and blank texts have no lines.
+    A word is a run of letters; common words are looked up in lower case, those
+    that are no run of letters match nothing. Null and blank texts have no lines.
     """
     d = documents.select("doc_id", clean(F.col("text")).alias("_t_")).where("_t_ <> ''")
     d = d.select("doc_id", F.filter(F.split("_t_", r"\n\s*"), lambda x: x.rlike(r"\S")).alias("_lines_"))
@@ -77,20 +71,22 @@ def lines(documents: DataFrame, common: list[str]) -> DataFrame:
     n = F.size("_lines_")
     near = lambda c, by: F.when((F.col("at") + by >= 0) & (F.col("at") + by < n), F.get(c, F.col("at") + by))
     best = lambda c: F.greatest(F.coalesce(near(c, -1), F.lit(0)), F.coalesce(near(c, 1), F.lit(0)))
-    low, size = F.lower("line"), F.get("_size_", F.col("at"))
-    letters, words = _chars(F.col("line"), r"\p{L}+"), _times(F.col("line"), r"\p{L}+")
+    e = e.withColumn("_low_", F.lower("line")).withColumn("_words_", F.filter(F.split("_low_", r"[^\p{L}]+"), lambda w: w != ""))
+    low, size = F.col("_low_"), F.get("_size_", F.col("at"))
+    letters, words = F.aggregate("_words_", F.lit(0), lambda n, w: n + F.length(w)), F.size("_words_")
+    known = F.size(F.filter("_words_", lambda w: w.isin(*common))) if common else F.lit(0)
     share = lambda x: x / F.greatest(size, F.lit(1))
     per_word = lambda x: x / F.greatest(words, F.lit(1))
     tokens = F.split(F.trim(low), r"\s+")
     measured = {
-        "length": size, "words": words, "word_length": per_word(letters), "common": per_word(_times(low, common_pattern(common))),
+        "length": size, "words": words, "word_length": per_word(letters), "common": per_word(known),
         "letters": share(letters), "digits": share(_chars(F.col("line"), r"\p{N}+")), "symbols": share(_chars(F.col("line"), r"[^\p{L}\p{N}\s]+")),
         "foreign": share(_chars(F.col("line"), r"[^\x00-\x7FäöüÄÖÜßáéíóúñàèùâêîôûëïçÁÉÍÓÚÑÀÈÙÂÊÎÔÛËÏÇœ¿¡’‘“”«»±°•–—…]+")),
         "cells": F.get("_cells_", F.col("at")), "cells_near": best("_cells_"), "marked": F.get("_mark_", F.col("at")),
         "marked_near": F.coalesce(near("_mark_", -1), F.lit(0)) + F.coalesce(near("_mark_", 1), F.lit(0)),
-        "ends": F.col("line").rlike(r"[.!?…]['\"”’)]*\s*$").cast("int"), "distinct": F.size(F.array_distinct(tokens)) / F.size(tokens),
+        "ends": F.col("line").rlike(r"[.!?…]['\"”’)]*\s*$").cast("int"), "distinct": F.size(F.array_distinct(tokens)) / F.least(F.size(tokens), F.lit(50)),
         "run": F.col("line").rlike(r"(\S)\1{7}").cast("int"), "token": F.array_max(F.transform(tokens, F.length)), "mixed": share(_times(F.col("line"), r"\p{L}\p{N}|\p{N}\p{L}|\p{Ll}\p{Lu}")),
-        "same": F.coalesce((near("_lines_", -1) == F.col("line")) | (near("_lines_", 1) == F.col("line")), near("_lines_", -1) == F.col("line"), near("_lines_", 1) == F.col("line"), F.lit(False)).cast("int"),
+        "same": sum(F.coalesce((near("_lines_", by) == F.col("line")).cast("int"), F.lit(0)) for by in (-1, 1)),
         "length_before": F.coalesce(near("_size_", -1), F.lit(0)), "length_after": F.coalesce(near("_size_", 1), F.lit(0)),
         "longest_near": best("_size_"), "commas": _times(F.col("line"), ", "),
     }
@@ -99,7 +95,7 @@ def lines(documents: DataFrame, common: list[str]) -> DataFrame:
 
 def _cells(line: Column) -> Column:
     """Cells of a line under the separator that makes most: bars, tabs, semicolons, commas without a blank, wide gaps."""
-    return 1 + F.greatest(_signs(line, "|"), _signs(line, "\t"), _times(line, r";(?! )"), _times(line, r",(?! )"), _times(line, r"\S {2,}(?=\S)"))
+    return 1 + F.greatest(_signs(line, "|"), _signs(line, "\t"), _times(line, SEMICOLON), _times(line, r",(?! )"), _times(line, r"\S {2,}(?=\S)"))
 
 
 def statistics(documents: DataFrame, common: list[str]) -> DataFrame:

@@ -64,12 +64,12 @@ def _worth(conditions, names, x, y, w) -> float:
     return (p - n) / (p + n) if p + n else -1.0
 
 
-def induce(names: list[str], x: np.ndarray, y: np.ndarray, default: str, weights: np.ndarray | None = None, seed: int = 0, max_rules: int = 12) -> list[Rule]:
-    """The ordered rule list for classes y of the examples x; what no rule covers is ``default``."""
+def induce(names: list[str], x: np.ndarray, y: np.ndarray, default: str, weights: np.ndarray | None = None, seed: int = 0, max_rules: int = 12, order: tuple[str, ...] = ()) -> list[Rule]:
+    """The ordered rule list for classes y of the examples x; what no rule covers is ``default``. order: classes in another order than by rarity."""
     rng, rules = np.random.default_rng(seed), []
     weights = np.ones(len(x)) if weights is None else weights
     left = np.ones(len(x), bool)
-    for k in sorted((c for c in set(y) if c != default), key=lambda c: (weights[y == c].sum(), c)):
+    for k in order or sorted((c for c in set(y) if c != default), key=lambda c: (weights[y == c].sum(), c)):
         for _ in range(max_rules):
             at = rng.permutation(np.flatnonzero(left))
             grow, prune = at[: 2 * len(at) // 3], at[2 * len(at) // 3 :]

@@ -17,7 +17,7 @@ from framemill.llm.quality import CLASSES, FEATURES, MARKER, common_list, lines
 from framemill.llm.rules import apply, induce
 
 #: Bound on the labelled sample.
-MOST_DOCUMENTS = 10_000
+MOST_DOCUMENTS = 30_000
 
 _MARKUP = re.compile(r"&\w+;|&#\d+;|</?\w+/?>|%[0-9A-F]{2}|\\u[0-9a-f]{4}|\{\}|\(\);?")
 _SUFFIX = re.compile(r"(, \w+)?(, \d+ mm)?[.;]?\s*$")
@@ -26,7 +26,7 @@ _SUFFIX = re.compile(r"(, \w+)?(, \d+ mm)?[.;]?\s*$")
 def annotate(texts: list[str], common: set[str]) -> list[str]:
     """The class of each line of one document, by the guide: look for junk first, then rows of cells, then entries; the rest is prose."""
     kinds = []
-    cells = [max(len(re.findall(p, t)) for p in (r"\|", r"\t", r";(?! )", r",(?! )", r"\S {2,}(?=\S)")) + 1 for t in texts]
+    cells = [max(len(re.findall(p, _MARKUP.sub("", t))) for p in (r"\|", r"\t", r"(?<!\));(?! )", r",(?! )", r"\S {2,}(?=\S)")) + 1 for t in texts]
     for i, t in enumerate(texts):
         words = re.findall(r"[^\W\d_]+", t.lower())
         tokens = t.lower().split()
@@ -38,7 +38,11 @@ def annotate(texts: list[str], common: set[str]) -> list[str]:
         row = cells[i] >= 3 and any(abs(cells[j] - cells[i]) <= 2 and cells[j] >= 3 for j in near) and not _MARKUP.search(t)
         strange = sum(ord(c) > 127 and not c.isalpha() or c in "ÃÂÐžŸœ€™¬¢" for c in body) / max(len(body), 1)
         signs = sum(not c.isalnum() for c in body) / max(len(body), 1)
-        if len(_MARKUP.findall(t)) * 4 > len(t) * 0.3 or strange > 0.12:
+        dump = sum(bool(re.fullmatch(r"[0-9a-f]{2,8}", w)) for w in tokens) >= 0.8 * len(tokens) and sum(bool(re.search("[a-f]", w) and re.search("[0-9]", w)) for w in tokens) >= 2
+        code = len(tokens) == 1 and len(t) >= 8 and "_" not in t and (len(t) >= 40 or kinds[-1:] == ["junk"] and len(texts[i - 1]) >= 40 and " " not in texts[i - 1])
+        if dump or code:
+            kinds.append("junk")
+        elif len(_MARKUP.findall(t)) * 4 > len(t) * 0.3 or strange > 0.12:
             kinds.append("junk")
         elif row and known < 0.2 and cells[i] < 40:
             kinds.append("table")
@@ -80,7 +84,7 @@ def document_class(kinds: np.ndarray, lengths: np.ndarray) -> str:
     return max(("table", "list", "junk"), key=lambda k: held[k]) if sum(held.values()) > 0.5 * lengths.sum() else "prose"
 
 
-def train(names, x, y, ids, lengths, seeds=range(16)):
+def train(names, x, y, ids, lengths, seeds=range(6)):
     """The rules, and on the held-out documents the shares of lines and of documents that get their label.
 
     Of the rule lists grown from several seeds, the one with the fewest errors on
@@ -94,7 +98,7 @@ def train(names, x, y, ids, lengths, seeds=range(16)):
     truth = [document_class(y[a:b], lengths[a:b]) for a, b in spans]
     tried = []
     for seed in seeds:
-        rules = induce(names, x[~held], y[~held], "prose", weights[~held], seed)
+        rules = induce(names, x[~held], y[~held], "prose", weights[~held], seed, order=("table", "junk", "list"))
         got = apply(rules, names, x, "prose")
         wrong = np.array([document_class(got[a:b], lengths[a:b]) != t for (a, b), t in zip(spans, truth)])
         out = held[ends[:-1]]
