@@ -54,6 +54,16 @@ def _chars(text: Column, runs: str) -> Column:
     return F.length(text) - F.length(F.regexp_replace(text, runs, ""))
 
 
+def _parts(text, between: str) -> Column:
+    """The text cut at a pattern. Spark keeps a replacing pattern compiled, but compiles a cutting one for every row."""
+    return F.split(F.regexp_replace(text, between, " "), " ")
+
+
+def _where(text: Column, sign: str, count: Column) -> Column:
+    """A count that needs a sign, made only for texts that have it."""
+    return F.when(F.contains(text, F.lit(sign)), count).otherwise(0)
+
+
 def _signs(text: Column, sign: str) -> Column:
     return F.length(text) - F.length(F.replace(text, F.lit(sign), F.lit("")))
 
@@ -67,35 +77,36 @@ def lines(documents: DataFrame, common: list[str]) -> DataFrame:
     d = documents.select("doc_id", clean(F.col("text")).alias("_t_")).where("_t_ <> ''")
     d = d.select("doc_id", F.filter(F.split("_t_", r"\n\s*"), lambda x: x.rlike(r"\S")).alias("_lines_"))
     d = d.withColumns({"_size_": F.transform("_lines_", F.length), "_mark_": F.transform("_lines_", lambda x: x.rlike(MARKER).cast("int")), "_cells_": F.transform("_lines_", _cells)})
-    e = d.select("doc_id", "_lines_", "_size_", "_mark_", "_cells_", F.posexplode("_lines_").alias("at", "line"))
-    n = F.size("_lines_")
-    near = lambda c, by: F.when((F.col("at") + by >= 0) & (F.col("at") + by < n), F.get(c, F.col("at") + by))
-    best = lambda c: F.greatest(F.coalesce(near(c, -1), F.lit(0)), F.coalesce(near(c, 1), F.lit(0)))
-    e = e.withColumn("_low_", F.lower("line")).withColumn("_words_", F.filter(F.split("_low_", r"[^\p{L}]+"), lambda w: w != ""))
-    low, size = F.col("_low_"), F.get("_size_", F.col("at"))
+    # what a line needs of its neighbours goes with it, so that no row carries the whole text along
+    pick = lambda x, i: F.struct(x.alias("line"), *(F.coalesce(F.get(c, i + by), F.lit(0)).alias(f"{c}{by}") for c in ("_size_", "_mark_", "_cells_") for by in (-1, 0, 1)), *(F.coalesce((F.get("_lines_", i + by) == x).cast("int"), F.lit(0)).alias(f"_same_{by}") for by in (-1, 1)))
+    e = d.select("doc_id", F.posexplode(F.transform("_lines_", pick)).alias("at", "_l_")).select("doc_id", "at", "_l_.*")
+    best = lambda c: F.greatest(F.col(f"{c}-1"), F.col(f"{c}1"))
+    e = e.withColumn("_low_", F.lower("line")).withColumn("_words_", F.filter(_parts("_low_", r"[^\p{L}]+"), lambda w: w != ""))
+    low, size = F.col("_low_"), F.col("_size_0")
     letters, words = F.aggregate("_words_", F.lit(0), lambda n, w: n + F.length(w)), F.size("_words_")
     known = F.size(F.filter("_words_", lambda w: w.isin(*common))) if common else F.lit(0)
     share = lambda x: x / F.greatest(size, F.lit(1))
     per_word = lambda x: x / F.greatest(words, F.lit(1))
-    tokens = F.split(F.trim(low), r"\s+")
+    tokens = _parts(F.trim(low), r"\s+")
     measured = {
         "length": size, "words": words, "word_length": per_word(letters), "common": per_word(known),
         "letters": share(letters), "digits": share(_chars(F.col("line"), r"\p{N}+")), "symbols": share(_chars(F.col("line"), r"[^\p{L}\p{N}\s]+")),
         "foreign": share(_chars(F.col("line"), r"[^\x00-\x7FäöüÄÖÜßáéíóúñàèùâêîôûëïçÁÉÍÓÚÑÀÈÙÂÊÎÔÛËÏÇœ¿¡’‘“”«»±°•–—…]+")),
-        "cells": F.get("_cells_", F.col("at")), "cells_near": best("_cells_"), "marked": F.get("_mark_", F.col("at")),
-        "marked_near": F.coalesce(near("_mark_", -1), F.lit(0)) + F.coalesce(near("_mark_", 1), F.lit(0)),
+        "cells": F.col("_cells_0"), "cells_near": best("_cells_"), "marked": F.col("_mark_0"),
+        "marked_near": F.col("_mark_-1") + F.col("_mark_1"),
         "ends": F.col("line").rlike(r"[.!?…]['\"”’)]*\s*$").cast("int"), "distinct": F.size(F.array_distinct(tokens)) / F.least(F.size(tokens), F.lit(50)),
         "run": F.col("line").rlike(r"(\S)\1{7}").cast("int"), "token": F.array_max(F.transform(tokens, F.length)), "mixed": share(_times(F.col("line"), r"\p{L}\p{N}|\p{N}\p{L}|\p{Ll}\p{Lu}")),
-        "same": sum(F.coalesce((near("_lines_", by) == F.col("line")).cast("int"), F.lit(0)) for by in (-1, 1)),
-        "length_before": F.coalesce(near("_size_", -1), F.lit(0)), "length_after": F.coalesce(near("_size_", 1), F.lit(0)),
-        "longest_near": best("_size_"), "commas": _times(F.col("line"), ", "),
+        "same": F.col("_same_-1") + F.col("_same_1"),
+        "length_before": F.col("_size_-1"), "length_after": F.col("_size_1"),
+        "longest_near": best("_size_"), "commas": _signs(F.col("line"), ", ") / 2,
     }
     return e.select("doc_id", "at", "line", *(measured[f].cast("double").alias(f) for f in FEATURES))
 
 
 def _cells(line: Column) -> Column:
     """Cells of a line under the separator that makes most: bars, tabs, semicolons, commas without a blank, wide gaps."""
-    return 1 + F.greatest(_signs(line, "|"), _signs(line, "\t"), _times(line, SEMICOLON), _times(line, r",(?! )"), _times(line, r"\S {2,}(?=\S)"))
+    commas = _signs(line, ",") - (_signs(line, ", ") / 2).cast("int")
+    return 1 + F.greatest(_signs(line, "|"), _signs(line, "\t"), _where(line, ";", _times(line, SEMICOLON)), commas, _where(line, "  ", _times(line, r"\S {2,}(?=\S)")))
 
 
 def statistics(documents: DataFrame, common: list[str]) -> DataFrame:
