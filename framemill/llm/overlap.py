@@ -8,7 +8,8 @@ a band rounds random contrasts of one window of the picture on a shifted grid.
 Noise moves a contrast by little against the grid, and a spot in another window
 leaves it untouched. Training pictures have one hash per band; evaluation
 pictures also look into the cells beyond their nearest grid lines. A 64-bit sketch
-of signs drops pairs that met by chance, and the exact distance decides the rest.
+of signs, then a sample of pixels drop pairs that met by chance, and the exact
+distance decides the rest.
 """
 
 from __future__ import annotations
@@ -34,7 +35,9 @@ CLIP = 32
 #: Cells per side to which larger pictures are averaged before they are hashed (the distance is always of all pixels).
 SIDE = 32
 #: Bits of 64 in which the sketches of near pictures may differ; unrelated ones differ in about half.
-SKETCH = 22
+SKETCH = 26
+#: Pixels that are compared before whole pictures are fetched, and the mean difference of these up to which a pair is fetched.
+SAMPLE, SAMPLE_MOST = 64, 8.0
 
 _PLANS: dict = {}
 _ODD: dict = {}
@@ -57,7 +60,8 @@ def _plan(height: int, width: int):
         signs = rng.choice([-1.0, 1.0], (height * width, 64))
         columns.append(signs - signs.mean(axis=0))
         multipliers = rng.integers(1, 2**62, len(widths)).astype(np.uint64) * np.uint64(2) + np.uint64(1)
-        _PLANS[height, width] = np.concatenate(columns, axis=1).astype(np.float32), np.array(widths), rng.random(len(widths)), multipliers, len(windows)
+        pixels = rng.permutation(height * width)[:SAMPLE]
+        _PLANS[height, width] = np.concatenate(columns, axis=1).astype(np.float32), np.array(widths), rng.random(len(widths)), multipliers, len(windows), pixels
     return _PLANS[height, width]
 
 
@@ -89,20 +93,21 @@ def class_hash(c: np.ndarray, height: int, width: int) -> np.ndarray:
         return np.stack([_mix((u * m).sum(axis=1, dtype=np.uint64), np.uint64(height << 32 | width)) for m in _odd(c.shape[1])], axis=1).view(np.int64)
 
 
-def _grey(c: np.ndarray, height: int, width: int) -> tuple[np.ndarray, int, int]:
-    """Canonical pictures in grey levels, clipped; large ones averaged over at most SIDE x SIDE cells."""
-    g = np.clip(c / (3 * height * width), -CLIP, CLIP).astype(np.float32).reshape(-1, height, width)
+def _raw(c: np.ndarray, height: int, width: int) -> np.ndarray:
+    """Canonical pictures in grey levels; large ones averaged over at most SIDE x SIDE cells, which brings no two pictures further apart."""
+    g = (c / (3 * height * width)).astype(np.float32).reshape(-1, height, width)
     for axis, size in ((1, height), (2, width)):
         if size > SIDE:
             edges = np.linspace(0, size, SIDE + 1).astype(int)
             g = np.add.reduceat(g, edges[:-1], axis=axis) / np.diff(edges).reshape((-1, 1) if axis == 1 else (-1,)).astype(np.float32)
-    return g.reshape(len(g), -1), g.shape[1], g.shape[2]
+    return g.reshape(len(g), -1)
 
 
-def band_hashes(c: np.ndarray, height: int, width: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """int32 (n, bands), int32 (n, bands, probes) whose first is the band's own, int64 sketch (n)."""
-    g, h, w = _grey(c, height, width)
-    matrix, widths, shifts, multipliers, bands = _plan(h, w)
+def band_hashes(c: np.ndarray, height: int, width: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """int32 (n, bands), int32 (n, bands, probes) whose first is the band's own, int64 sketch (n), int8 (n, sampled pixels)."""
+    h, w = min(height, SIDE), min(width, SIDE)
+    g = np.clip(_raw(c, height, width), -CLIP, CLIP)
+    matrix, widths, shifts, multipliers, bands, pixels = _plan(h, w)
     all_contrasts = (g @ matrix).astype(np.float64)
     sketch = np.packbits(all_contrasts[:, len(widths) :] > 0, axis=1).view(np.int64).ravel()
     at = all_contrasts[:, : len(widths)] / widths + shifts
@@ -120,7 +125,8 @@ def band_hashes(c: np.ndarray, height: int, width: int) -> tuple[np.ndarray, np.
         for x in (np.arange(bands, dtype=np.uint64)[:, None], np.uint64(height << 32 | width)):
             keys = _mix(keys, x)
     keys = (keys >> np.uint64(13)).astype(np.uint32).view(np.int32)
-    return np.ascontiguousarray(keys[:, :, 0]), keys, sketch
+    sample = np.clip(np.round(_raw(c, height, width)[:, pixels]), -127, 127).astype(np.int8)
+    return np.ascontiguousarray(keys[:, :, 0]), keys, sketch, sample
 
 
 def _lists(keys: np.ndarray, there: np.ndarray) -> pa.Array:
@@ -136,25 +142,25 @@ def _hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             _, height, width, _ = pixels.shape
             c = canonical(pixels)
             whole = class_hash(c, height, width)
-            own, probes, sketch = band_hashes(c, height, width)
+            own, probes, sketch, sample = band_hashes(c, height, width)
             take = pa.array(at)
             split = batch.column("split").take(take)
             train = np.array([x == "train" for x in split.to_pylist()])
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column("row_id").take(take), split, batch.column("source").take(take), pa.array(whole[:, 0]), pa.array(whole[:, 1]),
-                    _lists(own, train), _lists(probes.reshape(len(c), -1), ~train), pa.array(sketch),
+                    _lists(own, train), _lists(probes.reshape(len(c), -1), ~train), pa.array(sketch), pa.array([x.tobytes() for x in sample], pa.binary()),
                 ],
-                names=["row_id", "split", "source", "h1", "h2", "bands", "probes", "sketch"],
+                names=["row_id", "split", "source", "h1", "h2", "bands", "probes", "sketch", "sample"],
             )
 
 
 def hashed(rows: DataFrame) -> DataFrame:
-    """row_id, split, source, h1, h2, bands (train), probes (evaluation) and sketch for the rows of train, val and test whose pictures decode."""
+    """row_id, split, source, h1, h2, bands (train), probes (evaluation), sketch and sample for the rows of train, val and test whose pictures decode."""
     split = F.lower(F.regexp_replace("split", r"^\s+|\s+$", ""))
     wanted = rows.select(F.col("row_id").cast("bigint").alias("row_id"), "image", split.alias("split"), F.col("source").cast("string").alias("source"))
     wanted = wanted.where(F.col("split").isin("train", "val", "test") & F.col("image").isNotNull() & F.col("row_id").isNotNull())
-    return wanted.mapInArrow(_hashed, "row_id bigint, split string, source string, h1 bigint, h2 bigint, bands array<int>, probes array<int>, sketch bigint")
+    return wanted.mapInArrow(_hashed, "row_id bigint, split string, source string, h1 bigint, h2 bigint, bands array<int>, probes array<int>, sketch bigint, sample binary")
 
 
 def _pixels(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -185,6 +191,20 @@ def _verified(most: float):
     return verify
 
 
+def _alike(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Pairs whose sampled pixels do not tell them apart."""
+    for batch in batches:
+        a, b = batch.column("sample_a").to_pylist(), batch.column("sample_b").to_pylist()
+        size = np.array([len(x) if len(x) == len(y) else 0 for x, y in zip(a, b)])
+        keep = np.zeros(len(a), bool)
+        for n in np.unique(size[size > 0]):
+            at = np.flatnonzero(size == n)
+            d = np.abs(np.frombuffer(b"".join(a[i] for i in at), np.int8).astype(np.int16) - np.frombuffer(b"".join(b[i] for i in at), np.int8)).reshape(len(at), n)
+            keep[at] = d.mean(axis=1) <= SAMPLE_MOST
+        at = pa.array(np.flatnonzero(keep))
+        yield pa.RecordBatch.from_arrays([batch.column("rep_a").take(at), batch.column("rep_b").take(at)], names=["rep_a", "rep_b"])
+
+
 class Overlap:
     """Cross-split overlaps of a picture table, by classes of exact copies.
 
@@ -202,14 +222,16 @@ class Overlap:
     def __init__(self, rows: DataFrame, most: float = MOST):
         h = checkpointed(hashed(rows))
         classes = h.groupBy("h1", "h2").agg(
-            F.min("row_id").alias("rep"), F.max(F.col("split") != "train").alias("has_eval"), F.max(F.col("split") == "train").alias("has_train"), F.first("bands", True).alias("bands"), F.first("probes", True).alias("probes"), F.first("sketch").alias("sketch")
+            F.min("row_id").alias("rep"), F.max(F.col("split") != "train").alias("has_eval"), F.max(F.col("split") == "train").alias("has_train"), F.first("bands", True).alias("bands"), F.first("probes", True).alias("probes"), F.first("sketch").alias("sketch"), F.first("sample").alias("sample")
         )
         classes = checkpointed(classes)
         self.members = h.select("row_id", "split", "source", "h1", "h2").join(classes.select("h1", "h2", "rep"), ["h1", "h2"]).drop("h1", "h2")
         ev = classes.where("has_eval").select(F.col("rep").alias("rep_a"), F.col("sketch").alias("sketch_a"), F.explode("probes").alias("band"))
         tr = classes.where("has_train").select(F.col("rep").alias("rep_b"), F.col("sketch").alias("sketch_b"), F.explode("bands").alias("band"))
         close = F.bit_count(F.col("sketch_a").bitwiseXOR(F.col("sketch_b"))) <= SKETCH
-        met = checkpointed(ev.join(tr, "band").where((F.col("rep_a") != F.col("rep_b")) & close).select("rep_a", "rep_b").distinct())
+        met = ev.join(tr, "band").where((F.col("rep_a") != F.col("rep_b")) & close).select("rep_a", "rep_b").distinct()
+        some = lambda x: classes.select(F.col("rep").alias(f"rep_{x}"), F.col("sample").alias(f"sample_{x}"))
+        met = checkpointed(met.join(some("a"), "rep_a").join(some("b"), "rep_b").mapInArrow(_alike, "rep_a bigint, rep_b bigint"))
         wanted = met.select(F.col("rep_a").alias("row_id")).union(met.select("rep_b")).distinct()
         grey = rows.select(F.col("row_id").cast("bigint").alias("row_id"), "image").join(wanted, "row_id", "left_semi").mapInArrow(_pixels, "row_id bigint, height int, grey binary")
         side = lambda x: grey.select(F.col("row_id").alias(f"rep_{x}"), F.col("height").alias(f"height_{x}"), F.col("grey").alias(f"grey_{x}"))

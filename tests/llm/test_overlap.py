@@ -115,9 +115,10 @@ def test_candidate_recall_on_noise_alone(noise, least):
     a = np.round(120 + rng.normal(0, 8, (500, 18, 24))).astype(np.uint8)
     b = np.clip(np.round(a + rng.uniform(-2 * noise, 2 * noise, a.shape)), 0, 255).astype(np.uint8)
     ca, cb = overlap.canonical(a[..., None]), overlap.canonical(b[..., None])
-    own, _, sa = overlap.band_hashes(ca, 18, 24)
-    _, probes, sb = overlap.band_hashes(cb, 18, 24)
+    own, _, sa, pa_ = overlap.band_hashes(ca, 18, 24)
+    _, probes, sb, pb_ = overlap.band_hashes(cb, 18, 24)
     met = (probes == own[:, :, None]).any(axis=(1, 2)) & (np.bitwise_count((sa ^ sb).view(np.uint64)) <= overlap.SKETCH)
+    met &= np.abs(pa_.astype(int) - pb_).mean(axis=1) <= overlap.SAMPLE_MOST
     assert met.mean() >= least
 
 
