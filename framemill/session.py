@@ -54,3 +54,13 @@ def free_name(df: DataFrame, wish: str) -> str:
     while name.lower() in taken:
         name += "_"
     return name
+
+
+def spread(df: DataFrame, *key: str) -> DataFrame:
+    """The rows over all cores by key, where they come in so few splits that three cores of four would idle; else as they are.
+
+    For work that costs far more than moving its rows. So few splits are a small table, whatever the cluster.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    splits = df._jdf.queryExecution().toRdd().getNumPartitions()
+    return df.repartition(cores, *key) if 4 * splits <= cores else df
