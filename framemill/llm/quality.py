@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from framemill.llm.learned import RULES
 from framemill.llm.rules import to_case
+from framemill.session import spread
 
 CLASSES = ("list", "table", "junk")
 #: Common words the driver may put into one pattern; the table is a vocabulary, not data.
@@ -74,7 +75,7 @@ def lines(documents: DataFrame, common: list[str]) -> DataFrame:
     A word is a run of letters; common words are looked up in lower case, those
     that are no run of letters match nothing. Null and blank texts have no lines.
     """
-    d = documents.select("doc_id", clean(F.col("text")).alias("_t_")).where("_t_ <> ''")
+    d = spread(documents.select("doc_id", "text"), "doc_id").select("doc_id", clean(F.col("text")).alias("_t_")).where("_t_ <> ''")
     d = d.select("doc_id", F.filter(F.split("_t_", r"\n\s*"), lambda x: x.rlike(r"\S")).alias("_lines_"))
     d = d.withColumns({"_size_": F.transform("_lines_", F.length), "_mark_": F.transform("_lines_", lambda x: x.rlike(MARKER).cast("int")), "_cells_": F.transform("_lines_", _cells)})
     # what a line needs of its neighbours goes with it, so that no row carries the whole text along

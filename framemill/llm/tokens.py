@@ -9,6 +9,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from framemill.session import spread
+
 #: Folder of the vocabulary files and the vocabulary taken; both are parameters of every function here.
 FOLDER = os.environ.get("FRAMEMILL_TOKENIZERS", "/opt/tokenizers")
 VOCABULARY = "byte_bpe_50k.tiktoken"
@@ -45,9 +47,9 @@ def _counting(path: str):
 
 
 def counted(texts: DataFrame, folder: str = FOLDER, vocabulary: str = VOCABULARY) -> DataFrame:
-    """Replaces ``text`` by ``tokens``, the length of the whole text in tokens; null texts have none."""
+    """Replaces ``text`` by ``tokens``, the length of the whole text in tokens; null texts have none. texts: doc_id, text and what is to be kept."""
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in texts.schema if f.name != "text")
-    return texts.mapInArrow(_counting(f"{folder}/{vocabulary}"), schema + ", tokens bigint")
+    return spread(texts, "doc_id").mapInArrow(_counting(f"{folder}/{vocabulary}"), schema + ", tokens bigint")
 
 
 def source_key(column: str = "source"):
