@@ -62,5 +62,8 @@ def spread(df: DataFrame, *key: str) -> DataFrame:
     For work that costs far more than moving its rows. So few splits are a small table, whatever the cluster.
     """
     cores = df.sparkSession.sparkContext.defaultParallelism
-    splits = df._jdf.queryExecution().toRdd().getNumPartitions()
+    run = df._jdf.queryExecution()
+    if "Adaptive" in run.executedPlan().getClass().getSimpleName():  # it shuffles already, and asking for its splits would run it
+        return df
+    splits = run.toRdd().getNumPartitions()
     return df.repartition(cores, *key) if 4 * splits <= cores else df
