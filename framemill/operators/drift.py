@@ -36,7 +36,7 @@ def _kind(v: Column) -> Column:
     )
 
 
-def opened(lines: DataFrame) -> DataFrame:
+def opened(lines: DataFrame, values: bool = True) -> DataFrame:
     """build_id, producer, file_no, line_no, row_id, fields: one row per line that is a valid JSON object.
 
     fields maps each name to (kind, value); an object that names a field twice
@@ -51,13 +51,13 @@ def opened(lines: DataFrame) -> DataFrame:
 
     doc = lines.select("build_id", "producer", "file_no", "line_no", F.try_parse_json(F.col("payload")).alias("doc"))
     doc = doc.withColumn("map", F.try_variant_get("doc", "$", "map<string,variant>")).where("map is not null")
-    fields = F.transform_values("map", lambda _, v: F.struct(_kind(v).alias("kind"), value(v, _kind(v)).alias("value")))
+    fields = F.transform_values("map", lambda _, v: F.struct(_kind(v).alias("kind"), (value(v, _kind(v)) if values else F.lit(None).cast("string")).alias("value")))
     return doc.select("build_id", "producer", "file_no", "line_no", F.try_variant_get("doc", "$.row_id", "bigint").alias("row_id"), fields.alias("fields"))
 
 
 def named(lines: DataFrame) -> DataFrame:
     """build_id, producer, file_no, field, kind: one row per line and field."""
-    return opened(lines).select("build_id", "producer", "file_no", F.explode("fields").alias("field", "v")).select("build_id", "producer", "file_no", "field", "v.kind")
+    return opened(lines, values=False).select("build_id", "producer", "file_no", F.explode("fields").alias("field", "v")).select("build_id", "producer", "file_no", "field", "v.kind")
 
 
 def catalogue(values: DataFrame) -> DataFrame:
