@@ -3,13 +3,13 @@
 Pictures are canonicalised (decoded, channels averaged, own mean subtracted; all
 in whole numbers, so equal pictures are exactly equal) and hashed. One hash of
 the whole canonical picture puts exact copies into classes, also of pictures
-that differ in brightness or encoding only. Near copies meet through band hashes:
-a band rounds random contrasts of one window of the picture on a shifted grid.
-Noise moves a contrast by little against the grid, and a spot in another window
-leaves it untouched. Training pictures have one hash per band; evaluation
-pictures also look into the cells beyond their nearest grid lines. A 64-bit sketch
-of signs, then a sample of pixels drop pairs that met by chance, and the exact
-distance decides the rest.
+that differ in brightness or encoding only. Near copies are found without loss: a
+picture is cut into blocks, and the mean absolute difference of block means, weighted
+by block size, is never above that of the pixels; neither is the difference of a
+contrast of block means. Two contrasts give a training picture its cell and an
+evaluation picture all cells in reach; inside a cell coarse blocks, then fine ones,
+drop pairs that must be too far apart, and the exact distance decides the rest.
+The comparisons inside cells grow with the square of the table.
 """
 
 from __future__ import annotations
@@ -26,6 +26,14 @@ from framemill.session import checkpointed
 
 #: Grey levels of mean absolute difference up to which two pictures are near-same.
 MOST = 4.0
+#: Blocks that a picture is cut into, and how many of these per side make a coarse block.
+BLOCKS, COARSE = 108, 3
+#: Steps a grey level in which block means are kept, and what rounding them (twice half a step) and float sums can add to a bound, with room to spare.
+STEPS, SLACK = 64, 1 / 32
+#: Pictures of either side that one task compares at a time, and the tile of evaluation and training pictures that stays in its cache.
+CHUNK, TILE = 32_768, (32, 4096)
+
+# The band hashes below (with sketch and sample) are a lossy search. Overlap does not use them; a test still measures them.
 #: Contrasts per band, and the grid width in standard deviations that grey noise of NOISE levels gives a contrast.
 CONTRASTS, WIDTH, NOISE = 20, 2.4, 7.5
 #: Cells that evaluation pictures look into per band: their own, those across the nearest SINGLES grid lines, those across two of the nearest PAIRS.
@@ -129,38 +137,77 @@ def band_hashes(c: np.ndarray, height: int, width: int) -> tuple[np.ndarray, np.
     return np.ascontiguousarray(keys[:, :, 0]), keys, sketch, sample
 
 
-def _lists(keys: np.ndarray, there: np.ndarray) -> pa.Array:
-    """Rows of keys as lists, null where not there."""
-    n = keys.shape[1]
-    offsets = np.r_[0, np.cumsum(np.where(there, n, 0))].astype(np.int32)
-    return pa.ListArray.from_arrays(pa.array(offsets), pa.array(keys[there].ravel()), mask=pa.array(~there))
+def _grid(height: int, width: int) -> tuple[np.ndarray, np.ndarray]:
+    """Edges of the rows and of the columns of blocks."""
+    rows = min(max(round((BLOCKS * height / width) ** 0.5), 1), height, BLOCKS)
+    return np.linspace(0, height, rows + 1).astype(int), np.linspace(0, width, min(BLOCKS // rows, width) + 1).astype(int)
 
 
-def _hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def block_means(c: np.ndarray, height: int, width: int) -> np.ndarray:
+    """int16 (n, blocks): block means of canonical pictures, in steps of 1 / STEPS grey levels."""
+    ys, xs = _grid(height, width)
+    sums = np.add.reduceat(np.add.reduceat(c.reshape(-1, height, width), ys[:-1], axis=1), xs[:-1], axis=2)
+    return np.round(sums * (STEPS / (3 * height * width)) / np.outer(np.diff(ys), np.diff(xs))).astype(np.int16).reshape(len(c), -1)
+
+
+def weighted(means: np.ndarray, height: int, width: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """float32 (n, blocks), (n, coarse blocks), (n, 2 contrasts) of block means.
+
+    Weighted by size: for two pictures, the sum of absolute differences of either
+    kind of block, and each difference of a contrast, is at most their mean
+    absolute difference of pixels + SLACK.
+    """
+    ys, xs = _grid(height, width)
+    fine = means.astype(np.float32) * (np.outer(np.diff(ys), np.diff(xs)).ravel() / (STEPS * height * width)).astype(np.float32)
+    rows, columns = len(ys) - 1, len(xs) - 1
+    field = fine.reshape(-1, rows, columns)
+    coarse = np.add.reduceat(np.add.reduceat(field, np.arange(0, rows, COARSE), axis=1), np.arange(0, columns, COARSE), axis=2)
+    half = lambda n: np.where(np.arange(n) < n // 2, np.float32(1), np.float32(-1))
+    return fine, coarse.reshape(len(means), -1), np.stack([field.sum(axis=1) @ half(columns), field.sum(axis=2) @ half(rows)], axis=1)
+
+
+def cells(contrasts: np.ndarray, most: float) -> tuple[np.ndarray, list[list[int]]]:
+    """int64 (n): the cell of each picture; and all cells in which pictures at most ``most`` away can lie."""
+    size = max(2 * most, 1.0)
+    at = lambda x: np.floor(x / size).astype(np.int64)
+    code = lambda x, y: (x + 2**15) * 2**16 + y + 2**15
+    own, low, high = at(contrasts), at(contrasts - most - SLACK), at(contrasts + most + SLACK)
+    reach = [[code(x, y) for x in range(a, b + 1) for y in range(c, d + 1)] for (a, c), (b, d) in zip(low.tolist(), high.tolist())]
+    return code(own[:, 0], own[:, 1]), reach
+
+
+def _hashed(most: float):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        return _hashes(batches, most)
+
+    return run
+
+
+def _hashes(batches: Iterator[pa.RecordBatch], most: float) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for at, pixels in decode(batch.column("image").to_pylist()):
             _, height, width, _ = pixels.shape
             c = canonical(pixels)
             whole = class_hash(c, height, width)
-            own, probes, sketch, sample = band_hashes(c, height, width)
+            means = block_means(c, height, width)
+            cell, reach = cells(weighted(means, height, width)[2], most)
             take = pa.array(at)
-            split = batch.column("split").take(take)
-            train = np.array([x == "train" for x in split.to_pylist()])
+            full = lambda x: pa.array(np.full(len(c), x, np.int32))
             yield pa.RecordBatch.from_arrays(
                 [
-                    batch.column("row_id").take(take), split, batch.column("source").take(take), pa.array(whole[:, 0]), pa.array(whole[:, 1]),
-                    _lists(own, train), _lists(probes.reshape(len(c), -1), ~train), pa.array(sketch), pa.array([x.tobytes() for x in sample], pa.binary()),
+                    batch.column("row_id").take(take), batch.column("split").take(take), batch.column("source").take(take), pa.array(whole[:, 0]), pa.array(whole[:, 1]),
+                    full(height), full(width), pa.array(cell), pa.array(reach, pa.list_(pa.int64())), pa.array([x.tobytes() for x in means], pa.binary()),
                 ],
-                names=["row_id", "split", "source", "h1", "h2", "bands", "probes", "sketch", "sample"],
+                names=["row_id", "split", "source", "h1", "h2", "height", "width", "cell", "reach", "means"],
             )
 
 
-def hashed(rows: DataFrame) -> DataFrame:
-    """row_id, split, source, h1, h2, bands (train), probes (evaluation), sketch and sample for the rows of train, val and test whose pictures decode."""
+def hashed(rows: DataFrame, most: float = MOST) -> DataFrame:
+    """row_id, split, source, h1, h2, height, width, cell, reach (cells of near pictures) and block means for the rows of train, val and test whose pictures decode."""
     split = F.lower(F.regexp_replace("split", r"^\s+|\s+$", ""))
     wanted = rows.select(F.col("row_id").cast("bigint").alias("row_id"), "image", split.alias("split"), F.col("source").cast("string").alias("source"))
     wanted = wanted.where(F.col("split").isin("train", "val", "test") & F.col("image").isNotNull() & F.col("row_id").isNotNull())
-    return wanted.mapInArrow(_hashed, "row_id bigint, split string, source string, h1 bigint, h2 bigint, bands array<int>, probes array<int>, sketch bigint, sample binary")
+    return wanted.mapInArrow(_hashed(most), "row_id bigint, split string, source string, h1 bigint, h2 bigint, height int, width int, cell bigint, reach array<bigint>, means binary")
 
 
 def _pixels(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -191,18 +238,64 @@ def _verified(most: float):
     return verify
 
 
-def _alike(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Pairs whose sampled pixels do not tell them apart."""
-    for batch in batches:
-        a, b = batch.column("sample_a").to_pylist(), batch.column("sample_b").to_pylist()
-        size = np.array([len(x) if len(x) == len(y) else 0 for x, y in zip(a, b)])
-        keep = np.zeros(len(a), bool)
-        for n in np.unique(size[size > 0]):
-            at = np.flatnonzero(size == n)
-            d = np.abs(np.frombuffer(b"".join(a[i] for i in at), np.int8).astype(np.int16) - np.frombuffer(b"".join(b[i] for i in at), np.int8)).reshape(len(at), n)
-            keep[at] = d.mean(axis=1) <= SAMPLE_MOST
-        at = pa.array(np.flatnonzero(keep))
-        yield pa.RecordBatch.from_arrays([batch.column("rep_a").take(at), batch.column("rep_b").take(at)], names=["rep_a", "rep_b"])
+def within(a: np.ndarray, b: np.ndarray, height: int, width: int, most: float) -> tuple[np.ndarray, np.ndarray]:
+    """Places in a and in b (block means) of all pairs that their blocks leave possible at ``most``: no pair within it is missing."""
+    (fa, ca, ka), (fb, cb, kb) = weighted(a, height, width), weighted(b, height, width)
+    bound = np.float32(most + SLACK)
+    by_a, by_b = np.argsort(ka[:, 0], kind="stable"), np.argsort(kb[:, 0], kind="stable")
+    fa, ca, ka, fb, cb, kb = fa[by_a], ca[by_a], ka[by_a, 0], fb[by_b], np.ascontiguousarray(cb[by_b].T), kb[by_b, 0]
+    out_a, out_b = [], []
+    for i in range(0, len(a), TILE[0]):
+        part = ca[i : i + TILE[0]]
+        first, last = np.searchsorted(kb, ka[i] - bound), np.searchsorted(kb, ka[i : i + TILE[0]][-1] + bound, "right")
+        for j in range(first, last, TILE[1]):
+            end = min(j + TILE[1], last)
+            total, step = np.zeros((len(part), end - j), np.float32), np.empty((len(part), end - j), np.float32)
+            for d in range(part.shape[1]):
+                np.subtract(part[:, d, None], cb[d, j:end], out=step)
+                np.abs(step, out=step)
+                total += step
+            x, y = np.nonzero(total <= bound)
+            for k in range(0, len(x), TILE[1]):
+                p, q = x[k : k + TILE[1]] + i, y[k : k + TILE[1]] + j
+                near = np.abs(fa[p] - fb[q]).sum(axis=1) <= bound
+                out_a.append(by_a[p[near]])
+                out_b.append(by_b[q[near]])
+    none = np.zeros(0, np.int64)
+    return np.concatenate([none, *out_a]), np.concatenate([none, *out_b])
+
+
+def _met(most: float):
+    def compare(key: tuple, left: pa.Table, right: pa.Table) -> pa.Table:
+        a, b = left.column("rep_a").to_numpy(), right.column("rep_b").to_numpy()
+        x = y = np.zeros(0, np.int64)
+        if len(a) and len(b):
+            height, width = key[0].as_py(), key[1].as_py()
+            means = lambda column: np.frombuffer(b"".join(column.to_pylist()), np.int16).reshape(len(column), -1)
+            x, y = within(means(left.column("means")), means(right.column("means_b")), height, width, most)
+        other = a[x] != b[y]
+        return pa.table({"rep_a": pa.array(a[x][other], pa.int64()), "rep_b": pa.array(b[y][other], pa.int64())})
+
+    return compare
+
+
+def _candidates(classes: DataFrame, most: float) -> DataFrame:
+    """rep_a (evaluation), rep_b (training): every pair of different classes that block means leave possible; each once.
+
+    A cell is compared in chunks of about CHUNK x CHUNK pictures, so a crowded one is many groups.
+    """
+    key = ["height", "width", "cell"]
+    ev = classes.where("has_eval").select("height", "width", F.explode("reach").alias("cell"), F.col("rep").alias("rep_a"), "means")
+    tr = classes.where("has_train").select(*key, F.col("rep").alias("rep_b"), "means")
+    chunks = lambda df, name: df.groupBy(*key).agg(F.ceil(F.count(F.lit(1)) / CHUNK).cast("int").alias(name))
+    sizes = F.broadcast(checkpointed(chunks(ev, "of_a").join(chunks(tr, "of_b"), key)))  # one row per cell that both sides reach
+    own = lambda rep, of: F.pmod(F.xxhash64(rep), F.col(of)).cast("int")
+    each = lambda of: F.explode(F.sequence(F.lit(0), F.col(of) - 1))
+    ev = ev.join(sizes, key).select(*key, own("rep_a", "of_a").alias("at_a"), each("of_b").alias("at_b"), "rep_a", "means")
+    tr = tr.join(sizes, key).select(*key, each("of_a").alias("at_a"), own("rep_b", "of_b").alias("at_b"), "rep_b", "means")
+    key = [*key, "at_a", "at_b"]
+    tr = tr.select(*(F.col(c).alias(f"{c}_of_b") for c in key), "rep_b", F.col("means").alias("means_b"))  # both sides stem from one table: no column may bear the other's name
+    return ev.groupBy(*key).cogroup(tr.groupBy(*(f"{c}_of_b" for c in key))).applyInArrow(_met(most), "rep_a bigint, rep_b bigint")
 
 
 class Overlap:
@@ -220,18 +313,13 @@ class Overlap:
     """
 
     def __init__(self, rows: DataFrame, most: float = MOST):
-        h = checkpointed(hashed(rows))
+        h = checkpointed(hashed(rows, most))
         classes = h.groupBy("h1", "h2").agg(
-            F.min("row_id").alias("rep"), F.max(F.col("split") != "train").alias("has_eval"), F.max(F.col("split") == "train").alias("has_train"), F.first("bands", True).alias("bands"), F.first("probes", True).alias("probes"), F.first("sketch").alias("sketch"), F.first("sample").alias("sample")
+            F.min("row_id").alias("rep"), F.max(F.col("split") != "train").alias("has_eval"), F.max(F.col("split") == "train").alias("has_train"), *(F.first(c).alias(c) for c in ("height", "width", "cell", "reach", "means"))
         )
         classes = checkpointed(classes)
         self.members = h.select("row_id", "split", "source", "h1", "h2").join(classes.select("h1", "h2", "rep"), ["h1", "h2"]).drop("h1", "h2")
-        ev = classes.where("has_eval").select(F.col("rep").alias("rep_a"), F.col("sketch").alias("sketch_a"), F.explode("probes").alias("band"))
-        tr = classes.where("has_train").select(F.col("rep").alias("rep_b"), F.col("sketch").alias("sketch_b"), F.explode("bands").alias("band"))
-        close = F.bit_count(F.col("sketch_a").bitwiseXOR(F.col("sketch_b"))) <= SKETCH
-        met = ev.join(tr, "band").where((F.col("rep_a") != F.col("rep_b")) & close).select("rep_a", "rep_b").distinct()
-        some = lambda x: classes.select(F.col("rep").alias(f"rep_{x}"), F.col("sample").alias(f"sample_{x}"))
-        met = checkpointed(met.join(some("a"), "rep_a").join(some("b"), "rep_b").mapInArrow(_alike, "rep_a bigint, rep_b bigint"))
+        met = checkpointed(_candidates(classes, most))
         wanted = met.select(F.col("rep_a").alias("row_id")).union(met.select("rep_b")).distinct()
         grey = rows.select(F.col("row_id").cast("bigint").alias("row_id"), "image").join(wanted, "row_id", "left_semi").mapInArrow(_pixels, "row_id bigint, height int, grey binary")
         side = lambda x: grey.select(F.col("row_id").alias(f"rep_{x}"), F.col("height").alias(f"height_{x}"), F.col("grey").alias(f"grey_{x}"))

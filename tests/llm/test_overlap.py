@@ -127,3 +127,24 @@ def test_on_the_test_table(spark, small):
     want = brute([(r.row_id, None if r.image is None else bytes(r.image), r.split, r.source) for r in df.collect()])
     assert set(map(tuple, overlap.Overlap(df).pairs().collect())) == want
     assert overlap.Overlap(df.withColumn("rep_a", F.lit(1))).pairs().count() == len(want)
+
+
+@pytest.mark.parametrize("far", [2.5, 3.5, 3.9, 4.0])
+def test_every_near_pair_is_found_on_noise_alone(spark, far):
+    """Blank pictures with uniform noise that leaves them just within ``far`` grey levels: none is lost."""
+    rng = np.random.default_rng(12)
+    rows = []
+    for i, p in enumerate(np.round(120 + rng.normal(0, 8, (150, 18, 24)))):
+        noise = rng.uniform(-1, 1, p.shape)
+        q = next(q for k in np.linspace(2.2 * far, 0, 400) if np.abs((q := np.round(p + k * noise)) - q.mean() - (p - p.mean())).mean() <= far)
+        rows += [(2 * i, bytearray(as_png(p)), "train", "s", "", 0), (2 * i + 1, bytearray(as_png(q)), "val", "s", "", 0)]
+    want = brute([(r[0], bytes(r[1]), *r[2:]) for r in rows])
+    assert {(2 * i, 2 * i + 1) for i in range(150)} <= want
+    assert set(map(tuple, overlap.Overlap(spark.createDataFrame(rows, ROWS)).pairs().collect())) == want
+
+
+def test_crowded_cells_are_compared_in_chunks(spark, rows, monkeypatch):
+    df = spark.createDataFrame(rows, ROWS)
+    want = sorted(map(tuple, overlap.Overlap(df).pairs().collect()))
+    monkeypatch.setattr(overlap, "CHUNK", 7)
+    assert sorted(map(tuple, overlap.Overlap(df).pairs().collect())) == want and len(want) >= 150
