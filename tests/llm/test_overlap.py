@@ -148,3 +148,26 @@ def test_crowded_cells_are_compared_in_chunks(spark, rows, monkeypatch):
     want = sorted(map(tuple, overlap.Overlap(df).pairs().collect()))
     monkeypatch.setattr(overlap, "CHUNK", 7)
     assert sorted(map(tuple, overlap.Overlap(df).pairs().collect())) == want and len(want) >= 150
+
+def lossy_pairs(kind):
+    """Pairs just within 4.0 grey levels: blank pictures with a spot of seven bright pixels, or pictures of so little contrast that noise turns most signs."""
+    rng = np.random.default_rng(21)
+    rows = []
+    for i in range(150):
+        if kind == "spot":
+            p, far = np.round(30 + rng.normal(0, 3, (18, 24))), np.zeros(18 * 24)
+            far[rng.permutation(18 * 24)[:7]] = 1
+            far = far.reshape(18, 24)
+        else:
+            p, far = np.round(120 + rng.normal(0, 1, (18, 24))), rng.uniform(-1, 1, (18, 24))
+        q = next(q for k in np.linspace(220, 0, 2000) if np.abs((q := np.round(p + k * far)) - q.mean() - (p - p.mean())).mean() <= 4.0)
+        rows += [(2 * i, bytearray(as_png(p)), "train", "s", "", 0), (2 * i + 1, bytearray(as_png(q)), "val", "s", "", 0)]
+    return rows
+
+
+@pytest.mark.parametrize("kind", ["spot", "low"])
+def test_nothing_is_dropped_before_the_distance(spark, kind):
+    rows = lossy_pairs(kind)
+    want = brute([(r[0], bytes(r[1]), *r[2:]) for r in rows])
+    assert {(2 * i, 2 * i + 1) for i in range(150)} <= want
+    assert set(map(tuple, overlap.Overlap(spark.createDataFrame(rows, ROWS)).pairs().collect())) == want
