@@ -42,7 +42,9 @@ def number(rows: DataFrame, state: DataFrame | None = None) -> DataFrame:
     batch_no counts as the last batch. state: an earlier result; its numbers stay,
     and new frames follow in the order of their batch and, within it, of a hash of
     the key. So numbering batch by batch or all at once is the same, provided
-    batches come in rising order. No rows: the state as it was.
+    batches come in rising order and no batch_no is null: numbered afresh without a
+    state, frames of null batch_no move up when a batch is added and can leave the
+    sample; with the earlier state they keep their numbers. No rows: the state as it was.
     """
     last = 2**31 - 1
     frames = rows.where("capture is not null and frame_idx is not null").groupBy("capture", F.col("frame_idx").cast("bigint").alias("frame_idx")).agg(

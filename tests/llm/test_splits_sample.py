@@ -143,6 +143,20 @@ def test_sample_edges(spark):
         sample.sample(sample.number(df), 1.1)
 
 
+def test_null_batches_need_the_state(spark):
+    """Frames of null batch_no keep their numbers over a later batch with the state, and move up behind it without."""
+    df = lambda rows: spark.createDataFrame(rows, FRAMES)
+    one = [("a", i, 1, "") for i in range(300)] + [("b", i, None, "") for i in range(300)]
+    two = [("c", i, 2, "") for i in range(300)] + [("d", i, None, "") for i in range(300)]
+    seq = lambda n: {(r.capture, r.frame_idx): r.seq for r in n.collect()}
+    state = checkpointed(sample.number(df(one)))
+    first, grown, afresh = seq(state), seq(sample.number(df(two), state)), seq(sample.number(df(one + two)))
+    assert all(grown[k] == n for k, n in first.items()) and sorted(grown.values()) == sorted(afresh.values()) == list(range(1200))
+    taken = lambda numbered: {(r.capture, r.frame_idx) for r in sample.sample(numbered, 0.2, 7).collect()}
+    assert taken(state) <= taken(sample.number(df(two), state))
+    assert all(afresh[k] == n if k[0] == "a" else afresh[k] >= 600 for k, n in first.items())
+
+
 def test_every_block_gives_its_share(spark):
     n = sample.BLOCK * 40
     got = spark.range(n).where(sample.chosen(F.col("id"), 0.1, 3)).select((F.col("id") / sample.BLOCK).cast("int").alias("b"), (F.col("id") % sample.BLOCK).alias("p")).collect()
