@@ -19,13 +19,17 @@ def curated(pictures: DataFrame, spec: schema.SourceSpec, source: list[str], uni
     Per unit and shape the first ``head`` pictures give the baseline and are used
     up. Pixels are read twice and never shuffled but for the heads; the fold sees
     numbers only. Metrics are of the picture as it came, the hash of the picture in
-    channel order.
+    channel order. A picture whose source, unit or shape is null belongs to no head:
+    it has no baseline, so area and intensity are null and it passes; the fold takes
+    null units as one unit, first in order.
     """
     keys = [*source, unit, *order]
     frames = pixels.grey_frames(pictures, [*keys, *SHAPE] if set(SHAPE) <= set(pictures.columns) else keys)
     group = [*source, unit, *(c for c in SHAPE if c in frames.columns)]
     kept = baselines.head_consumed(frames, group, order, "frame", head)
     m = kept.withColumn("m", arrays.contact(F.col("frame"), F.col("base"))).select(*keys, "m.area", "m.intensity")
+    headless = pictures.where(" or ".join(f"`{c}` is null" for c in group)).select(*keys, F.lit(None).cast("int").alias("area"), F.lit(None).cast("double").alias("intensity"))
+    m = m.unionByName(headless)
     m = m.withColumn("passing", arrays.passes(F.col("area"), F.col("intensity"), spec.a_min, spec.i_min))
     hashes = pixels.measures(pictures, keys, spec.channel_mode).select(*keys, "phash")
     on = [F.col(f"m.{c}").eqNullSafe(F.col(f"h.{c}")) for c in keys]
@@ -120,7 +124,7 @@ def _greys(spark: SparkSession, d: str, name: str, keep: list[str]) -> DataFrame
 
 
 def pl_curate(spark: SparkSession, d: str) -> DataFrame:
-    p = table(spark, d, "make_parquet").where("capture is not null").select("source", "capture", "row_id", "image", "height", "width")
+    p = table(spark, d, "make_parquet").select("source", "capture", "row_id", "image", "height", "width")
     spec = schema.SourceSpec("pictures", "real", "mixed", "main", 10, a_min=6)
     return curated(p, spec, ["source"], "capture", ["row_id"]).drop("phash").withColumn("intensity", F.round("intensity", 6))
 

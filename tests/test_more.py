@@ -5,7 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from framemill import schema
-from framemill.functions import images
+from framemill.functions import images, png
 from framemill.operators import balance, baselines, names, selection, stats
 from framemill.plans import pipelines
 
@@ -96,3 +96,18 @@ def test_pipelines_on_frames(spark):
     f = spark.createDataFrame([(1, "9_cuboid_4", "test", 0.1), (2, "x_flat", "val", -0.5), (3, "none", "zz", None)], "row_id int, stem string, split string, f_z float")
     g = [(r.row_id, r.indenter, r.indenter_param, r.gel_variant) for r in pipelines.force_gated(f, "stem", ["row_id"], rate=0.0).collect()]
     assert g == [(2, "flat", "", "black_dot")]
+
+
+def test_curated_keeps_pictures_without_unit(spark):
+    """A null unit, source or shape has no baseline: its pictures pass; those that do not decode have no row."""
+    rng = np.random.default_rng(3)
+    picture = lambda: bytearray(png.encode(rng.integers(0, 256, (24, 24)).astype(np.uint8)))
+    rows = [("s", "a", i, picture(), 24, 24) for i in range(15)] + [("s", None, 100 + i, picture(), 24, 24) for i in range(4)]
+    rows += [("s", None, 200, bytearray(b"none"), 24, 24), (None, "a", 300, picture(), 24, 24), ("s", "a", 400, picture(), None, 24)]
+    df = spark.createDataFrame(rows, "source string, capture string, row_id bigint, image binary, height int, width int")
+    spec = schema.SourceSpec("pictures", "real", "mixed", "main", 10, a_min=6)
+    got = {r.row_id: r for r in pipelines.curated(df, spec, ["source"], "capture", ["row_id"]).collect()}
+    bare = {100, 101, 102, 103, 300, 400}
+    assert set(got) == {*range(10, 15), *bare}
+    assert all((got[i].area is None, got[i].intensity is None) == (i in bare, i in bare) for i in got)
+    assert all(got[i].decision == "kept" for i in bare)
