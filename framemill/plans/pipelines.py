@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from framemill import schema
@@ -98,10 +98,15 @@ def peak_frames(frames: DataFrame, touch: list[str], key: list[str], a_min: floa
     return selection.peaks_or_fallback(m, touch, score, key, k, i_min, rate, seed)
 
 
-def sequences(frames: DataFrame, sequence: str, order: list[str], a_min: float, i_min: float, rate: float, least: int = 10, head: int = 10, thresh: float = arrays.PIXEL_THRESH) -> DataFrame:
-    """Frames of sequences of at least ``least``, against the median of their first ``head``, which are not used up; renumbered after filtering."""
+def sequences(frames: DataFrame, sequence: str, order: list[str], a_min: float, i_min: float, rate: float, least: int = 10, head: int = 10, thresh: float = arrays.PIXEL_THRESH, shape: list[str] | None = None) -> DataFrame:
+    """Frames of sequences of at least ``least``, against the median of their first ``head``, which are not used up; renumbered after filtering.
+
+    shape: not-null columns that tell sizes of picture apart; each size of a
+    sequence has its own first ``head``, and all its frames count and are numbered together.
+    """
+    group = [sequence, *(shape or [])]
     f = baselines.at_least(frames.where(F.col(sequence).isNotNull()), [sequence], least)
-    m = baselines.with_base(f, baselines.elementwise(baselines.first_n(f, [sequence], order, head), [sequence], "frame"), [sequence])
+    m = baselines.with_base(f, baselines.elementwise(baselines.first_n(f, group, order, head), group, "frame"), group)
     m = m.withColumn("m", arrays.contact(F.col("frame"), F.col("base"), thresh)).select(*[c for c in frames.columns if c != "frame"], "m.area", "m.intensity")
     kept = selection.bernoulli(m, [sequence, *order], rate, always=arrays.passes(F.col("area"), F.col("intensity"), a_min, i_min))
     return selection.renumber(kept, sequence, order)
@@ -167,10 +172,9 @@ def pl_peaks(spark: SparkSession, d: str) -> DataFrame:
 
 
 def pl_sequences(spark: SparkSession, d: str) -> DataFrame:
-    f = _greys(spark, d, "make_parquet_video", ["sequence_id", "row_id"])
-    w = Window.partitionBy("sequence_id")
-    f = f.withColumn("shape", F.size("frame")).withColumn("first", F.min("shape").over(w)).where("shape = first").drop("shape", "first")
-    return sequences(f, "sequence_id", ["row_id"], 6, 10, 0.015).withColumn("intensity", F.round("intensity", 6))
+    f = _greys(spark, d, "make_parquet_video", ["sequence_id", "row_id", *SHAPE])
+    f = f.select("sequence_id", "row_id", F.concat_ws("x", *(F.coalesce(F.col(c).cast("string"), F.lit("")) for c in SHAPE), F.size("frame").cast("string")).alias("shape"), "frame")
+    return sequences(f, "sequence_id", ["row_id"], 6, 10, 0.015, shape=["shape"]).drop("shape").withColumn("intensity", F.round("intensity", 6))
 
 
 def pl_contact_sample(spark: SparkSession, d: str) -> DataFrame:

@@ -111,3 +111,17 @@ def test_curated_keeps_pictures_without_unit(spark):
     assert set(got) == {*range(10, 15), *bare}
     assert all((got[i].area is None, got[i].intensity is None) == (i in bare, i in bare) for i in got)
     assert all(got[i].decision == "kept" for i in bare)
+
+
+def test_sequences_of_several_sizes(spark, tmp_path):
+    """Every size of a sequence is kept against its own baseline; null sequences are left out."""
+    rng = np.random.default_rng(8)
+    rows = []
+    for i in range(60):
+        p = np.full((24, 24) if i % 2 else (36, 48), 100) + rng.integers(0, 2, (24, 24) if i % 2 else (36, 48))
+        if i >= 40:
+            p[8:-8, 8:-8] += 100
+        rows.append((i, bytearray(png.encode(p.astype(np.uint8))), *p.shape, "q" if i < 58 else None))
+    spark.createDataFrame(rows, "row_id bigint, image binary, height int, width int, sequence_id string").write.parquet(f"{tmp_path}/make_parquet_video.parquet")
+    got = pipelines.pl_sequences(spark, str(tmp_path)).where("intensity > 50").collect()
+    assert sorted(r.row_id for r in got) == list(range(40, 58)) and len({r.frame_in_seq for r in got}) == 18
