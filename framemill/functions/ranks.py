@@ -14,13 +14,39 @@ from pyspark.sql import functions as F
 
 from framemill.session import checkpointed, shuffle_width
 
-#: Rows that one range holds on average, and the most bits a range number may have.
-RANGE_ROWS, MOST_BITS = 20_000, 16
+#: Rows that one range holds on average, and the bits of a range number that one level of totals adds up.
+RANGE_ROWS, LEVEL_BITS = 20_000, 16
 
 
 def range_bits(rows: int) -> int:
-    """Leading hash bits so that a range holds about RANGE_ROWS of that many rows."""
-    return min(max((max(rows, 1) // RANGE_ROWS).bit_length(), 3), MOST_BITS)
+    """Leading hash bits so that a range holds about RANGE_ROWS of that many rows, whatever their number."""
+    return max((max(rows, 1) // RANGE_ROWS).bit_length(), 3)
+
+
+def md5_number(*parts: Column) -> Column:
+    """The leading 60 bits of the MD5 of the parts, joined by ':', as a bigint that is not negative; other engines compute the same."""
+    return F.conv(F.substring(F.md5(F.concat_ws(":", *(p.cast("string") for p in parts))), 1, 15), 16, 10).cast("bigint")
+
+
+def md5_order(*parts: Column) -> Column:
+    """md5_number spread over all 64 bits in the same order, as running_total wants it."""
+    return F.shiftleft(md5_number(*parts), 4).bitwiseXOR(F.lit(-(2**63)))
+
+
+def _starts(sums: DataFrame, groups: list[str], bits: int) -> DataFrame:
+    """Adds _start_, the sum over the group's ranges before a range. Beyond LEVEL_BITS the totals are added up in levels, so no window holds more than 2 ** LEVEL_BITS of them."""
+    before = lambda by: F.coalesce(F.sum("_sum_").over((Window.partitionBy(*by) if by else Window.partitionBy(F.lit(0))).orderBy("_at_").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    if bits <= LEVEL_BITS:
+        return sums.withColumn("_start_", before(groups)).drop("_sum_")
+    high = f"_high{bits}_"
+    fine = sums.withColumn(high, F.shiftright("_at_", LEVEL_BITS)).withColumn("_inner_", before([*groups, high]))
+    names = [f"{g}{bits}" for g in groups]
+    coarse = _starts(fine.groupBy(*(F.col(g).alias(g) for g in groups), F.col(high).alias("_at_")).agg(F.sum("_sum_").alias("_sum_")), groups, bits - LEVEL_BITS)
+    coarse = coarse.select(*(F.col(g).alias(n) for g, n in zip(groups, names)), F.col("_at_").alias("_up_"), "_start_")
+    cond = F.col(high) == F.col("_up_")
+    for g, n in zip(groups, names):
+        cond = cond & F.col(g).eqNullSafe(F.col(n))
+    return fine.join(coarse, cond).withColumn("_start_", F.col("_start_") + F.col("_inner_")).drop("_sum_", "_inner_", "_up_", high, *names)
 
 
 def running_total(df: DataFrame, by: list[str], order: str, ties: list[str], value: Column, rows: int) -> DataFrame:
@@ -36,8 +62,7 @@ def running_total(df: DataFrame, by: list[str], order: str, ties: list[str], val
     ranged = df.withColumn("_range_", F.shiftrightunsigned(F.col(order).bitwiseXOR(F.lit(-(2**63))), 64 - bits)).withColumn("_value_", value)
     groups = [f"_by{i}_" for i in range(len(by))]
     sums = ranged.groupBy(*[F.col(c).alias(g) for c, g in zip(by, groups)], F.col("_range_").alias("_at_")).agg(F.sum("_value_").alias("_sum_"))
-    w = Window.partitionBy(*groups) if groups else Window.partitionBy(F.lit(0))
-    starts = sums.withColumn("_start_", F.coalesce(F.sum("_sum_").over(w.orderBy("_at_").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))).drop("_sum_")
+    starts = _starts(sums, groups, bits)
     on = [F.col(c).eqNullSafe(F.col(g)) for c, g in zip(by, groups)] + [F.col("_range_") == F.col("_at_")]
     cond = on[0]
     for c in on[1:]:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -13,21 +14,31 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
-def checkpointed(df: DataFrame) -> DataFrame:
-    """Cuts the lineage with a reliable checkpoint.
+def shared_folder(spark: SparkSession) -> str:
+    """The folder that all executors share: the session's ``spark.checkpoint.dir``.
 
-    The folder is the session's ``spark.checkpoint.dir``. Only where no folder
-    is set (tests on one machine) a temporary one is taken; on a cluster such a
-    folder would not be shared, so that case is refused.
+    Only where none is set (tests on one machine) a temporary one is taken, once
+    per process; on a cluster such a folder would not be shared, so that is refused.
     """
+    folder = spark.conf.get("spark.checkpoint.dir", None)
+    if folder is None:
+        master = spark.sparkContext.master
+        if master != "local" and not master.startswith("local["):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+        if not _TEMPORARY:
+            _TEMPORARY.append(tempfile.mkdtemp(prefix="framemill-"))
+        folder = _TEMPORARY[0]
+    return folder
+
+
+_TEMPORARY: list[str] = []
+
+
+def checkpointed(df: DataFrame) -> DataFrame:
+    """Cuts the lineage with a reliable checkpoint in the shared folder."""
     sc = df.sparkSession.sparkContext
     if sc.getCheckpointDir() is None:
-        folder = df.sparkSession.conf.get("spark.checkpoint.dir", None)
-        if folder is None:
-            if sc.master != "local" and not sc.master.startswith("local["):
-                raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-            folder = tempfile.mkdtemp(prefix="framemill-checkpoint-")
-        sc.setCheckpointDir(folder)
+        sc.setCheckpointDir(shared_folder(df.sparkSession))
     done = df.checkpoint(eager=True)
     # A checkpoint inherits the size estimate of its plan, and estimates multiply at every join: over a few
     # rounds of an iteration they become numbers of millions of digits. The rows alone carry no estimate.
@@ -36,6 +47,18 @@ def checkpointed(df: DataFrame) -> DataFrame:
     return DataFrame(plain, session)
 
 
+def written(df: DataFrame) -> DataFrame:
+    """Cuts the lineage with a table written in the shared folder.
+
+    Unlike a checkpoint it is computed once, is read by column, and has a size that the
+    planner knows. For tables whose columns the caller names itself.
+    """
+    spark = df.sparkSession
+    path = f"{shared_folder(spark)}/framemill/cuts/{spark.sparkContext.applicationId}/{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
 def loose(text: Column) -> Column:
     """A key read loosely: outer blanks and letter case ignored; '' and 'unknown' name nothing (null)."""
     key = F.lower(F.regexp_replace(text, r"^\s+|\s+$", ""))

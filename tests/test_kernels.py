@@ -6,6 +6,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from framemill.store import Store
 from framemill.functions import arrays, images, png, ranks
 
 
@@ -138,3 +139,31 @@ def test_running_total_and_positions(spark):
             mine = sorted((r for r in p if r.g == g), key=lambda r: (r.v, r.id))
             assert [r.position for r in mine] == list(range(len(mine))) and {r.group_rows for r in mine} <= {len(mine)}
     assert not ranks.positions(df.limit(0), ["g"], ["id"]).collect()
+
+
+def test_running_total_in_levels(spark, monkeypatch):
+    """Totals of ranges added up in levels give what one level gives."""
+    df = spark.range(3000).select("id", (F.col("id") % 3).cast("string").alias("g"), F.xxhash64("id").alias("h"))
+    one = {r.id: r.before for r in ranks.running_total(df, ["g"], "h", ["id"], F.col("id"), 3000).collect()}
+    monkeypatch.setattr(ranks, "RANGE_ROWS", 10)
+    monkeypatch.setattr(ranks, "LEVEL_BITS", 3)
+    assert ranks.range_bits(3000) == 9
+    assert one == {r.id: r.before for r in ranks.running_total(df, ["g"], "h", ["id"], F.col("id"), 3000).collect()}
+    import hashlib
+
+    got = spark.range(20).select("id", ranks.md5_number(F.lit("x"), F.col("id")).alias("n"), ranks.md5_order(F.lit("x"), F.col("id")).alias("o")).collect()
+    assert all(r.n == int(hashlib.md5(f"x:{r.id}".encode()).hexdigest()[:15], 16) for r in got)
+    assert [r.id for r in sorted(got, key=lambda r: r.n)] == [r.id for r in sorted(got, key=lambda r: r.o)]
+
+
+def test_store(spark, tmp_path):
+    s = Store(spark, str(tmp_path / "s"), {"a": "x int", "b": "y string"})
+    assert not s.batches and not s.read("a").collect()
+    s.commit({"a": spark.range(3).select(F.col("id").cast("int").alias("x"))})
+    s.commit({"b": spark.createDataFrame([("q",)], "y string")})
+    spark.range(9).select(F.col("id").cast("int").alias("x")).write.parquet(str(tmp_path / "s/a/batch=3"))  # of a batch that died
+    t = Store(spark, str(tmp_path / "s"), s.schemas)
+    assert t.batches == [1, 2] and t.read("a").count() == 3 and t.read("b").collect() == [("q", 2)] and t.upto(1).read("b").count() == 0
+    t.commit({}, afresh=True)
+    u = Store(spark, str(tmp_path / "s"), s.schemas)
+    assert u.batches == [3] and u.read("a").count() == 0
