@@ -6,7 +6,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from framemill.llm import mixing, overlap, packing, quality, sample, splits, tokens
-from framemill.session import table
+from framemill.session import checkpointed, table
+from framemill.store import Store
 
 RATE, SEED = 0.1, 20_250_301
 
@@ -19,22 +20,54 @@ def p1_report(spark: SparkSession, d: str) -> DataFrame:
     return overlap.Overlap(table(spark, d, "make_parquet")).report()
 
 
+def _assignment(spark: SparkSession, d: str) -> Store:
+    """The stored assignment of a folder, with the batches by time in which its table grew; a rerun adds nothing."""
+    rows = table(spark, d, "make_parquet")
+    store = splits.assignment(spark, d)
+    early = F.coalesce(F.col("written_at") < F.lit("2025-03-20").cast("timestamp_ntz"), F.lit(False))
+    if not store.batches:
+        splits.extend(store, rows.where(early))
+    return splits.extend(store, rows)
+
+
 def p4_found(spark: SparkSession, d: str) -> DataFrame:
-    return splits.leaks(table(spark, d, "make_parquet")).select("row_id")
+    return splits.leaks(table(spark, d, "make_parquet"), _assignment(spark, d)).select("row_id")
 
 
 def p4_assigned(spark: SparkSession, d: str) -> DataFrame:
-    """Two batches by time, as the table grew: the second extends the state of the first."""
-    rows = table(spark, d, "make_parquet")
-    middle = F.lit("2025-03-20").cast("timestamp_ntz")
-    early = F.coalesce(F.col("written_at") < middle, F.lit(False))
-    state = splits.extend(splits.empty(spark), rows.where(early))
-    state = splits.extend(state, rows.where(~early))
-    return splits.assigned(rows, state)
+    return splits.assigned(table(spark, d, "make_parquet"), _assignment(spark, d))
+
+
+def p4_groups(spark: SparkSession, d: str) -> DataFrame:
+    """The groups of the stored assignment by their smallest row."""
+    a = p4_assigned(spark, d)
+    return a.groupBy("component").agg(F.min("row_id").alias("row_id"), F.count(F.lit(1)).alias("records"), F.countDistinct("split").alias("splits")).drop("component")
+
+
+def p4_quarantine(spark: SparkSession, d: str) -> DataFrame:
+    return splits.quarantine(_assignment(spark, d))
+
+
+def p4_checks(spark: SparkSession, d: str) -> DataFrame:
+    """What must hold of the assignment, counted: rows and groups, and the breaches of each rule."""
+    store = _assignment(spark, d)
+    now = checkpointed(splits.assigned(table(spark, d, "make_parquet"), store))
+    before = splits.assigned(table(spark, d, "make_parquet"), store.upto(store.batches[0])).select("row_id", F.col("split").alias("early"))
+    met = now.join(before, "row_id", "left").groupBy("component").agg(
+        F.count(F.lit(1)).alias("rows"), F.countDistinct("split").alias("splits"), F.min("split").alias("split"), F.countDistinct("early").alias("earlier"), F.min("early").alias("early")
+    )
+    clash = F.col("earlier") > 1
+    breach = lambda c: F.sum(c.cast("bigint"))
+    one = met.agg(
+        F.sum("rows").alias("rows"), F.count(F.lit(1)).alias("groups"), breach(F.col("splits") > 1).alias("groups_in_two_splits"),
+        breach((F.col("earlier") == 1) & (F.col("split") != F.col("early"))).alias("groups_that_left_their_split"),
+        breach(clash & (F.col("split") != splits.QUARANTINED)).alias("conflicts_not_quarantined"), breach(~clash & (F.col("split") == splits.QUARANTINED)).alias("quarantined_without_conflict"),
+    )
+    return one.select(F.explode(F.array(*(F.struct(F.lit(c).alias("name"), F.col(c).alias("n")) for c in one.columns))).alias("c")).select("c.*")
 
 
 def p6_sample(spark: SparkSession, d: str) -> DataFrame:
-    return sample.sample(sample.number(table(spark, d, "runner")), RATE, SEED)
+    return sample.sample(sample.arrived(sample.sequence(spark, d), table(spark, d, "runner")), RATE, SEED)
 
 
 def _packed(spark: SparkSession, d: str) -> DataFrame:
@@ -76,18 +109,33 @@ def p9_statistics(spark: SparkSession, d: str) -> DataFrame:
     return s.select("doc_id", "lines", "chars", "words", *(F.round(c, 6).alias(c) for c in ("mean_word_length", "symbol_ratio", "punctuated_lines", "common_words", "list", "table", "junk", "prose")), "text_class")
 
 
-QUERIES = {f.__name__: f for f in (p1_found, p1_report, p4_found, p4_assigned, p6_sample, p7_packed, p7_fill, p8_mixed, p8_shares, p9_found, p9_statistics)}
+QUERIES = {f.__name__: f for f in (p1_found, p1_report, p4_found, p4_assigned, p4_groups, p4_quarantine, p4_checks, p6_sample, p7_packed, p7_fill, p8_mixed, p8_shares, p9_found, p9_statistics)}
 
 _NODES = """k as (select row_id, lower(regexp_replace(obj_name, '^\\s+|\\s+$', '', 'g')) as o, lower(regexp_replace(capture, '^\\s+|\\s+$', '', 'g')) as c, lower(trim(split)) as s from make_parquet),
   n as (select row_id, s, case when o not in ('', 'unknown') then 'o:' || o end as o, case when c not in ('', 'unknown') then 'c:' || c end as c from k)"""
 
-SQL = {
-    "p4_found": f"""with recursive {_NODES},
+_GROUPS = f"""{_NODES},
   links as (select distinct o as u, c as v from n where o is not null and c is not null),
   arcs as (select u, v from links union select v, u from links),
   names as (select o as node from n where o is not null union select c from n where c is not null),
   reach(node, other) as (select node, node from names union select r.node, a.v from reach r join arcs a on a.u = r.other),
   label as (select node, min(other) as label from reach group by node),
-  g as (select n.row_id, n.s, coalesce(l.label, m.label, 'r:' || n.row_id) as label from n left join label l on l.node = n.o left join label m on m.node = n.c)
-  select min(row_id) as row_id from g group by label having count(distinct case when s in ('train', 'val', 'test') then s end) >= 2""",
+  g as (select n.row_id, n.s, coalesce(l.label, m.label, 'r:' || n.row_id) as label from n left join label l on l.node = n.o left join label m on m.node = n.c)"""
+
+_HASH = "cast(concat('0x', substr(md5({}), 1, 15)) as bigint)"
+
+
+def _draw(i: int) -> str:
+    return _HASH.format(f"concat('{SEED}:{i}:', seq // {sample.BLOCK})")
+
+
+SQL = {
+    "p4_found": f"with recursive {_GROUPS} select min(row_id) as row_id from g group by label having count(distinct case when s in ('train', 'val', 'test') then s end) >= 2",
+    "p4_groups": f"with recursive {_GROUPS} select min(row_id) as row_id, count(*) as records, cast(1 as bigint) as splits from g group by label",
+    "p4_checks": f"""with recursive {_GROUPS} select 'rows' as name, count(*) as n from g union all select 'groups', count(distinct label) from g
+  union all select name, 0 from (values ('groups_in_two_splits'), ('groups_that_left_their_split'), ('conflicts_not_quarantined'), ('quarantined_without_conflict')) t(name)""",
+    "p6_sample": f"""with f as (select capture, cast(frame_idx as bigint) as frame_idx, min(batch_no) as batch_no from runner where capture is not null and frame_idx is not null group by 1, 2),
+  n as (select *, row_number() over (order by batch_no nulls last, {_HASH.format("concat(capture, ':', frame_idx)")}, capture, frame_idx) - 1 as seq from f),
+  h as (select *, {_draw(1)} % {sample.BLOCK - 1} + 1 as m, {_draw(2)} % {sample.BLOCK} as c, {_draw(3)} / 1152921504606846976.0 as u from n)
+  select capture, frame_idx, batch_no, seq from h where (m * (seq % {sample.BLOCK}) + c) % {sample.BLOCK} < floor({RATE * sample.BLOCK!r} + u)""",
 }

@@ -3,20 +3,25 @@
 Every frame gets a persistent sequence number when it first arrives. Numbers
 form blocks of fixed length, and a hash of the block number alone chooses the
 positions taken in the block, also in blocks not yet filled. So a frame's fate is
-sealed with its number, and new batches only add frames.
+sealed with its number, and new batches only add frames. The numbers live in a
+stored table that is only ever appended to, so neither late rows of an early batch
+nor frames without a batch move a frame that was numbered before.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from framemill.functions.ranks import running_total
-from framemill.session import checkpointed
+from framemill.functions.ranks import md5_number, md5_order, running_total
+from framemill.session import written
+from framemill.store import Store, location
 
 #: Positions in a block: a prime, so that every multiplier makes a permutation of them.
 BLOCK = 997
 
+TABLES = {"frames": "capture string, frame_idx bigint, batch_no int, seq bigint"}
+
 
 def chosen(seq: Column, rate: float, seed: int) -> Column:
     """Whether the sequence number is in the sample.
@@ -27,40 +32,58 @@ def chosen(seq: Column, rate: float, seed: int) -> Column:
     gives rate * BLOCK members, rounded up or down by a hash so that the mean is exact.
     """
     block, p = F.floor(seq / BLOCK), seq % BLOCK
-    h = lambda i: F.xxhash64(F.lit(seed), F.lit(i), block)
-    m = F.pmod(h(1), F.lit(BLOCK - 1)) + 1
-    c = F.pmod(h(2), F.lit(BLOCK))
-    u = F.pmod(h(3), F.lit(2**20)) / F.lit(2.0**20)
+    h = lambda i: md5_number(F.lit(seed), F.lit(i), block)
+    m = h(1) % F.lit(BLOCK - 1) + 1
+    c = h(2) % F.lit(BLOCK)
+    u = h(3) / F.lit(2.0**60)
     return (m * p + c) % BLOCK < F.floor(F.lit(rate * BLOCK) + u)
 
 
 def number(rows: DataFrame, state: DataFrame | None = None) -> DataFrame:
-    """capture, frame_idx, batch_no, seq for all frames of the state and the new rows.
+    """capture, frame_idx, batch_no, seq of the frames that the state does not hold, numbered behind it.
 
     rows: capture, frame_idx, batch_no (others ignored). A frame counts once,
-    with the first batch it came in; rows with a null key are no frames; a null
-    batch_no counts as the last batch. state: an earlier result; its numbers stay,
-    and new frames follow in the order of their batch and, within it, of a hash of
-    the key. So numbering batch by batch or all at once is the same, provided
-    batches come in rising order and no batch_no is null: numbered afresh without a
-    state, frames of null batch_no move up when a batch is added and can leave the
-    sample; with the earlier state they keep their numbers. No rows: the state as it was.
+    with the first batch it came in; rows with a null key are no frames; frames
+    without a batch_no come last. state: the frames numbered so far, with seq. New frames
+    follow in the order of their batch and, within it, of a hash of the key. No
+    rows: no frames.
     """
-    last = 2**31 - 1
-    frames = rows.where("capture is not null and frame_idx is not null").groupBy("capture", F.col("frame_idx").cast("bigint").alias("frame_idx")).agg(
-        F.min(F.coalesce(F.col("batch_no").cast("int"), F.lit(last))).alias("batch_no")
-    )
-    start = F.lit(0).cast("bigint")
+    frames = rows.where("capture is not null and frame_idx is not null").groupBy("capture", F.col("frame_idx").cast("bigint").alias("frame_idx")).agg(F.min(F.col("batch_no").cast("int")).alias("batch_no"))
+    first = 0
     if state is not None:
-        frames = frames.join(state, ["capture", "frame_idx"], "left_anti")
-        start = F.lit(state.count())
-    frames = checkpointed(frames.withColumn("_key_", F.xxhash64("capture", "frame_idx")))
+        frames = frames.join(state.select("capture", "frame_idx"), ["capture", "frame_idx"], "left_anti")
+        first = state.agg((F.coalesce(F.max("seq"), F.lit(-1)) + 1).alias("n")).first().n
+    frames = written(frames.withColumn("_key_", md5_order(F.col("capture"), F.col("frame_idx"))))
     ran = running_total(frames, ["batch_no"], "_key_", ["capture", "frame_idx"], F.lit(1), frames.count())
     # one row per batch
-    sizes = frames.groupBy("batch_no").agg(F.count(F.lit(1)).alias("n"))
-    offset = sizes.select("batch_no", F.coalesce(F.sum("n").over(Window.partitionBy(F.lit(0)).orderBy("batch_no").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("offset"))
-    new = ran.join(offset, "batch_no").select("capture", "frame_idx", "batch_no", (start + F.col("offset") + F.col("before")).cast("bigint").alias("seq"))
-    return new if state is None else state.select("capture", "frame_idx", "batch_no", "seq").unionByName(new)
+    sizes = frames.groupBy(F.col("batch_no").alias("_batch_")).agg(F.count(F.lit(1)).alias("n"))
+    before = Window.partitionBy(F.lit(0)).orderBy(F.col("_batch_").asc_nulls_last()).rowsBetween(Window.unboundedPreceding, -1)
+    offset = sizes.select("_batch_", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("offset"))
+    return ran.join(offset, F.col("batch_no").eqNullSafe(F.col("_batch_"))).select("capture", "frame_idx", "batch_no", (F.lit(first) + F.col("offset") + F.col("before")).cast("bigint").alias("seq"))
+
+
+def sequence(spark: SparkSession, source: str) -> Store:
+    """The stored numbers of a source (a name or path); sessions that share a folder share them."""
+    return Store(spark, location(spark, "sequence", source), TABLES)
+
+
+def arrived(store: Store, rows: DataFrame) -> DataFrame:
+    """Numbers the frames of rows that are new, appends them to the store, and returns those of all frames of rows.
+
+    capture, frame_idx, batch_no (as first seen), seq. Frames of the store that
+    rows do not hold keep their numbers there but are not returned. A rerun
+    appends nothing; so does an empty table.
+    """
+    held = store.read("frames") if store.batches else None
+    new = number(rows, held)
+    if held is not None:
+        new = written(new)
+    if held is None or not new.isEmpty():
+        store.commit({"frames": new})
+    whole = store.read("frames").drop("batch")
+    if held is None:
+        return whole
+    return whole.join(rows.select("capture", F.col("frame_idx").cast("bigint").alias("frame_idx")).distinct(), ["capture", "frame_idx"], "left_semi")
 
 
 def sample(numbered: DataFrame, rate: float, seed: int = 0) -> DataFrame:
