@@ -4,7 +4,8 @@ Both sides are reduced to their distinct rows (pre-aggregated before the
 shuffle, so a row that comes again many times moves once per task), spread over
 hash buckets of the whole key and cogrouped as Arrow tables. Within a bucket the
 keys of both sides are aligned by sorted search and the columns compared through
-vectorised, null-aware masks; only the masked cells come out.
+vectorised, null-aware masks; only the masked cells come out. Keys that come in
+several versions lose the versions both sides hold alike first; what is left is compared.
 """
 
 from __future__ import annotations
@@ -66,6 +67,37 @@ def _differ(a: pa.Array, b: pa.Array) -> np.ndarray:
     return pc.or_(pc.not_equal(va, vb), pc.and_(pc.and_(va, vb), unequal)).to_numpy(zero_copy_only=False)
 
 
+def _codes(a: pa.ChunkedArray, b: pa.ChunkedArray) -> np.ndarray:
+    """Numbers of the values of a and then of b: equal numbers for equal values, null (and NaN) equal only to itself."""
+    both = pa.chunked_array(a.chunks + b.chunks, a.type).combine_chunks()
+    return pc.dictionary_encode(both, null_encoding="encode").indices.to_numpy(zero_copy_only=False).astype(np.int64)
+
+
+def _versions(left: pa.Table, right: pa.Table, key: np.ndarray, fields: list[str]) -> dict[str, np.ndarray]:
+    """For each field the keys (numbers; of the rows of left, then of right) in whose versions it differs.
+
+    Versions that both sides hold alike are set aside; if one side has no others, all of
+    its versions stand against those left of the other. Of what is left, a field differs
+    unless it has one value only.
+    """
+    n = left.num_rows
+    side = np.arange(len(key)) < n
+    codes = {f: _codes(left[f], right[f]) for f in fields}
+    whole = np.unique(np.stack([key, *codes.values()], axis=1), axis=0, return_inverse=True)[1].ravel()
+    alike = np.isin(whole, whole[side]) & np.isin(whole, whole[~side])
+    open_ = {s: np.unique(key[~alike & (side == s)]) for s in (True, False)}
+    # a key with versions left on one side only keeps all those of the other
+    stays = ~alike | np.where(side, np.isin(key, np.setdiff1d(open_[False], open_[True])), np.isin(key, np.setdiff1d(open_[True], open_[False])))
+    key = key[stays]
+    order = np.argsort(key, kind="stable")
+    first = np.flatnonzero(np.r_[True, np.diff(key[order]) != 0]) if len(key) else np.zeros(0, int)
+    differs = {}
+    for f, c in codes.items():
+        c = c[stays][order]
+        differs[f] = key[order][first][np.minimum.reduceat(c, first) != np.maximum.reduceat(c, first)] if len(first) else key
+    return differs
+
+
 def _bucket(keys: list[str], fields: list[str], names: tuple[str, str]):
     def compare(left: pa.Table, right: pa.Table) -> pa.Table:
         la, ra = _row_ids(left, keys, right)
@@ -85,7 +117,6 @@ def _bucket(keys: list[str], fields: list[str], names: tuple[str, str]):
         emit(left, lo[first_l & (start == end)], f"{names[0]}_only")
         there = np.searchsorted(la, ra, "left") != np.searchsorted(la, ra, "right")
         emit(right, ro[first_r & ~there], f"{names[1]}_only")
-        # versions of a key: most keys have one on each side; else every version of one side meets the first of the other
         n_l = np.diff(np.r_[np.flatnonzero(first_l), len(la)])
         count_l = np.repeat(n_l, n_l) if len(n_l) else np.zeros(0, int)
         single = (count_l == 1) & (end - start == 1)
@@ -94,16 +125,13 @@ def _bucket(keys: list[str], fields: list[str], names: tuple[str, str]):
         for f in fields:
             differs = _differ(li[f].combine_chunks(), rj[f].combine_chunks())
             emit(left, i[differs], f)
-        many = first_l & (start != end) & ~single
+        many = (start != end) & ~single
         if many.any():
-            at = np.flatnonzero(many)
-            for p, size in zip(at, count_l[at]):
-                mine, yours = lo[p : p + size], ro[start[p] : end[p]]
-                for f in fields:
-                    a = {repr(x) for x in left[f].take(pa.array(mine)).to_pylist()}
-                    b = {repr(x) for x in right[f].take(pa.array(yours)).to_pylist()}
-                    if a != b:
-                        emit(left, mine[:1], f)
+            several = np.unique(la[many])
+            mine, yours = lo[many], ro[np.isin(ra, several)]
+            found = _versions(left.take(pa.array(mine)), right.take(pa.array(yours)), np.r_[la[many], ra[np.isin(ra, several)]], fields)
+            for f, at in found.items():
+                emit(left, lo[np.searchsorted(la, at, "left")], f)
         if out:
             return pa.concat_tables(out)
         kinds = {k: (left if left.num_rows else right).schema.field(k).type for k in keys}
@@ -118,8 +146,9 @@ def table_diff(left: DataFrame, right: DataFrame, keys: list[str], fields: list[
     Returns the key columns (in the left side's types) and ``finding``:
     '<name>_only' or a field's name. Keys and text compare exactly, numbers by
     value in the wider type without tolerance, null equals only null. Rows with a
-    null key are left out. Repeated rows count once; a key with several different
-    rows on a side differs in a field when the two sides' sets of values differ.
+    null key are left out. Repeated rows count once. Of a key with several different
+    rows on a side, rows that both sides hold are set aside (if that leaves rows on one side
+    only, they are compared with all of the other), and a field differs if any two of the rest do.
     Columns beyond keys and fields are ignored. Empty sides give only '_only'
     findings, or none.
     """

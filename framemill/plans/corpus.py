@@ -48,6 +48,10 @@ _LONG = f"""long as (
   union all
   select 'capture', {_LOOSE.format('capture')}, {_LOOSE.format('obj_name')}, lower(trim(split)), written_at from make_parquet)"""
 
+_CELLS = ", ".join({"frame_idx": "cast(frame_idx as bigint) as frame_idx", "intensity": "cast(intensity as double) as intensity"}.get(c, c) for c in FRAME + FIELDS)
+_COPIES = f"""a as (select distinct {_CELLS} from runner where capture is not null and frame_idx is not null),
+  b as (select distinct {_CELLS} from runner_published where capture is not null and frame_idx is not null)"""
+
 SQL = {
     "p2_found": f"""with {_LONG} select key_field, key_text from long where key_text not in ('', 'unknown')
   group by key_field, key_text having count(*) >= 0.02 * (select count(*) from make_parquet)""",
@@ -58,15 +62,16 @@ SQL = {
   cast((count(*) filter (where s = 'train') > 0) as int) + cast((count(*) filter (where s = 'val') > 0) as int) + cast((count(*) filter (where s = 'test') > 0) as int) as splits,
   min(written_at) as first_written, max(written_at) as last_written
   from long where key_text not in ('', 'unknown') group by key_field, key_text""",
-    "p5_found": f"""with a as (select distinct {', '.join(FRAME + FIELDS)} from runner where capture is not null and frame_idx is not null),
-  b as (select distinct {', '.join(FRAME + FIELDS)} from runner_published where capture is not null and frame_idx is not null)
-  select capture, frame_idx, 'runner_only' as finding from (select distinct capture, frame_idx from a) k where not exists (select 1 from b where b.capture = k.capture and b.frame_idx = k.frame_idx)
+    "p5_found": f"""with {_COPIES},
+  keys as (select capture, frame_idx from a intersect select capture, frame_idx from b),
+  only_a as (select * from a except select * from b), only_b as (select * from b except select * from a),
+  left_a as (select * from only_a union select a.* from a where (capture, frame_idx) in (select (capture, frame_idx) from only_b) and (capture, frame_idx) not in (select (capture, frame_idx) from only_a)),
+  left_b as (select * from only_b union select b.* from b where (capture, frame_idx) in (select (capture, frame_idx) from only_a) and (capture, frame_idx) not in (select (capture, frame_idx) from only_b))
+  select capture, cast(frame_idx as int) as frame_idx, 'runner_only' as finding from (select capture, frame_idx from a except select * from keys)
   union all
-  select capture, cast(frame_idx as int), 'published_only' from (select distinct capture, frame_idx from b) k where not exists (select 1 from a where a.capture = k.capture and a.frame_idx = k.frame_idx)
+  select capture, cast(frame_idx as int), 'published_only' from (select capture, frame_idx from b except select * from keys)
   """
-    + "".join(
-        f" union all select distinct a.capture, a.frame_idx, '{f}' from a join b on a.capture = b.capture and a.frame_idx = b.frame_idx where a.{f} is distinct from b.{f}\n" for f in FIELDS
-    ),
+    + "".join(f" union all select distinct a.capture, cast(a.frame_idx as int), '{f}' from left_a a join left_b b on a.capture = b.capture and a.frame_idx = b.frame_idx where a.{f} is distinct from b.{f}\n" for f in FIELDS),
     "p3_found": """with v as (select build_id, file_no, payload from shard_lines where json_valid(payload) and json_type(payload) = 'OBJECT'),
   f as (select distinct v.build_id, v.file_no, try_cast(json_extract_string(v.payload, '$.row_id') as bigint) as row_id, e.key as field,
       case when e.type = 'NULL' then null when e.type = 'BOOLEAN' then 'boolean' when e.type = 'VARCHAR' then 'string' when e.type = 'ARRAY' then 'array' when e.type = 'OBJECT' then 'object' else 'number' end as kind,

@@ -80,23 +80,33 @@ def test_diff_against_loop(spark):
     right = spark.createDataFrame([(*x[:3], x[3], x[4], "z") for x in b], "k string, i bigint, t string, v double, n bigint, _bucket2_ string")
     import numpy as np
 
-    def sets(rows, single):
-        d = collections.defaultdict(lambda: collections.defaultdict(set))
+    def versions(rows, single):
+        d = collections.defaultdict(set)
         for k, i, t, v, n in rows:
             if k is not None and i is not None:
-                v = None if v is None else repr(float(np.float32(v)) if single else v)
-                for f, x in (("t", t), ("v", v), ("n", n)):
-                    d[k, i][f].add(x)
+                d[k, i].add((t, None if v is None else repr(float(np.float32(v)) if single else v), n))
         return d
 
-    sa, sb = sets(a, True), sets(b, False)
+    sa, sb = versions(a, True), versions(b, False)
     want = {(*k, "l_only") for k in sa.keys() - sb.keys()} | {(*k, "r_only") for k in sb.keys() - sa.keys()}
-    want |= {(*k, f) for k in sa.keys() & sb.keys() for f in ("t", "v", "n") if sa[k][f] != sb[k][f]}
+    for k in sa.keys() & sb.keys():
+        x, y = sa[k] - sb[k], sb[k] - sa[k]
+        if x or y:
+            want |= {(*k, f) for at, f in enumerate(("t", "v", "n")) if any(p[at] != q[at] for p in x or sa[k] for q in y or sb[k])}
     for buckets in (1, 5):
         got = [tuple(x) for x in tablediff.table_diff(left, right, ["k", "i"], ["t", "v", "n"], ("l", "r"), buckets).collect()]
         assert len(got) == len(set(got)) and set(got) == want
 
 
+def test_diff_crossed_versions(spark):
+    """Versions (1, 2), (3, 4) against (1, 4), (3, 2): each value is on both sides, no row is."""
+    s = "k string, i int, t int, v int"
+    left = spark.createDataFrame([("a", 1, 1, 2), ("a", 1, 3, 4), ("b", 1, 1, 1), ("b", 1, 2, 1), ("c", 1, 1, 1), ("c", 1, 1, None), ("d", 1, 1, 1), ("d", 1, 2, 2)], s)
+    right = spark.createDataFrame([("a", 1, 1, 4), ("a", 1, 3, 2), ("b", 1, 1, 1), ("b", 1, 2, 1), ("c", 1, 1, 1), ("d", 1, 1, 1), ("d", 1, 2, 3)], s)
+    got = sorted((r.k, r.finding) for r in tablediff.table_diff(left, right, ["k", "i"], ["t", "v"], ("l", "r")).collect())
+    assert got == [("a", "t"), ("a", "v"), ("c", "v"), ("d", "v")]
+
+
 def test_diff_empty_sides(spark):
     s = "k string, i int, t string"
     some, none = spark.createDataFrame([("a", 1, "x"), ("a", 1, "x")], s), spark.createDataFrame([], s)
