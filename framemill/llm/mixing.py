@@ -1,33 +1,19 @@
 """Mixing sources to target shares of tokens.
 
 Texts get hash-random keys and are sorted by range within their source;
-distributed running totals of tokens tell where each source's exact budget ends.
+distributed running totals of tokens tell where each source's exact budget ends,
+which may be inside a text: of that one only the tokens before the cut are used.
 A budget beyond the source's tokens repeats the source, whole epochs first.
 """
 
 from __future__ import annotations
 
-import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from framemill.functions.ranks import running_total
 from framemill.llm.tokens import source_key
-from framemill.session import checkpointed
-
-
-#: Tokens past a source's cut among which texts are sought that fill up its budget.
-SPAN = 65_536
-
-
-def _fill_gap(late: pa.Table) -> pa.Table:
-    late = late.sort_by([("before", "ascending"), ("doc_id", "ascending")])
-    gap, taken = late["gap"][0].as_py() if len(late) else 0, []
-    for doc, n in zip(late["doc_id"].to_pylist(), late["tokens"].to_pylist()):
-        if n <= gap:
-            taken.append(doc)
-            gap -= n
-    return pa.table({"doc_id": pa.array(taken, pa.int64())})
+from framemill.session import written
 
 
 def text_key(column: str = "text") -> Column:
@@ -61,35 +47,29 @@ def budgets(totals: DataFrame, targets: DataFrame, tokens: int | None = None) ->
 
 
 def mix(counted: DataFrame, targets: DataFrame, tokens: int | None = None) -> DataFrame:
-    """source, doc_id, epoch (from 1), tokens: one row per use of a text.
+    """source, doc_id, epoch (from 1), tokens, text_tokens: one row per use of a text.
 
     counted: doc_id, source (read loosely), text_key, tokens; targets: source,
     target_share, max_repeats. Copies of a text are one text, so none is used more
-    often than max_repeats of its source. Each source's part of an epoch ends with
-    the last text that fits whole; texts that follow within SPAN tokens and fit
-    fill what is left. Sources that are no target, null and blank texts are left out.
+    often than max_repeats of its source. tokens are those used: all text_tokens,
+    but for the one text of a source at which its budget ends. Sources that are no
+    target, null and blank texts are left out.
     """
-    texts = checkpointed(unique_texts(counted.select("doc_id", source_key().alias("source"), "text_key", "tokens")).withColumn("_key_", F.xxhash64("doc_id")))
+    texts = written(unique_texts(counted.select("doc_id", source_key().alias("source"), "text_key", "tokens")).withColumn("_key_", F.xxhash64("doc_id")))
     totals = texts.groupBy("source").agg(F.sum("tokens").alias("total"))
     plan = budgets(totals, targets, tokens).where("total > 0")
-    plan = plan.select(F.col("source").alias("_source_"), F.floor(F.col("budget") / F.col("total")).cast("int").alias("whole"), (F.col("budget") % F.col("total")).alias("rest"), "max_repeats")
+    plan = plan.select(F.col("source").alias("_source_"), F.floor(F.col("budget") / F.col("total")).cast("int").alias("whole"), F.round(F.col("budget") % F.col("total")).cast("bigint").alias("rest"), "max_repeats")
     ran = running_total(texts, ["source"], "_key_", ["doc_id"], F.col("tokens"), texts.count())
-    ran = checkpointed(ran.join(plan, F.col("source") == F.col("_source_")).withColumn("inside", F.col("before") + F.col("tokens") <= F.col("rest")))
-    # the text at the cut seldom ends at the budget: the texts that follow fill the gap, in order, where they fit
-    filled = ran.groupBy("_source_").agg(F.coalesce(F.sum(F.when(F.col("inside"), F.col("tokens"))), F.lit(0)).alias("filled"))
-    beyond = ran.where(F.col("inside") == F.lit(False)).where(F.col("before") <= F.col("rest") + SPAN).join(filled.withColumnRenamed("_source_", "_s_"), F.col("source") == F.col("_s_"))
-    late = beyond.select("source", "doc_id", "before", "tokens", (F.col("rest") - F.col("filled")).cast("double").alias("gap"))
-    late = late.groupBy("source").applyInArrow(_fill_gap, "doc_id bigint").withColumnRenamed("doc_id", "_late_")
-    used = ran.join(late, F.col("doc_id") == F.col("_late_"), "left")
-    extra = F.when(F.col("inside") | F.col("_late_").isNotNull(), 1).otherwise(0)
-    used = used.withColumn("uses", F.least(F.col("whole") + extra, F.col("max_repeats"))).where("uses > 0")
-    return used.select("source", "doc_id", F.explode(F.sequence(F.lit(1), "uses")).alias("epoch"), "tokens")
+    ran = ran.join(plan, F.col("source") == F.col("_source_")).withColumn("part", F.greatest(F.least(F.col("rest") - F.col("before"), F.col("tokens")), F.lit(0)))
+    used = ran.withColumn("uses", F.least(F.col("whole") + F.when(F.col("part") > 0, 1).otherwise(0), F.col("max_repeats"))).where("uses > 0")
+    each = used.select("source", "doc_id", F.explode(F.sequence(F.lit(1), "uses")).alias("epoch"), F.col("tokens").alias("text_tokens"), "whole", "part")
+    return each.select("source", "doc_id", "epoch", F.when(F.col("epoch") > F.col("whole"), F.col("part")).otherwise(F.col("text_tokens")).alias("tokens"), "text_tokens")
 
 
 def shares(mixed: DataFrame, targets: DataFrame) -> DataFrame:
     """source, target_share, tokens, share, repeats (largest number of uses of a text), texts: the shares reached, one row per target."""
     per = mixed.groupBy("source").agg(F.sum("tokens").alias("tokens"), F.max("epoch").alias("repeats"), F.count(F.when(F.col("epoch") == 1, 1)).alias("texts"))
-    whole = mixed.agg(F.sum("tokens").alias("n")).first()["n"] or 1
     zero = lambda c: F.coalesce(c, F.lit(0)).alias(c)
-    t = targets.select(source_key().alias("source"), "target_share").join(per, "source", "left")
-    return t.select("source", "target_share", zero("tokens"), (F.coalesce("tokens", F.lit(0)) / F.lit(whole)).alias("share"), zero("repeats"), zero("texts"))
+    t = targets.select(source_key().alias("source"), "target_share").join(per, "source", "left").select("source", "target_share", zero("tokens"), zero("repeats"), zero("texts"))
+    whole = F.greatest(F.sum("tokens").over(Window.partitionBy(F.lit(0))), F.lit(1))  # one row per target
+    return t.select("source", "target_share", "tokens", (F.col("tokens") / whole).alias("share"), "repeats", "texts")
