@@ -28,8 +28,8 @@ SEMICOLON = r"(?<!&#?\w{1,6})(?<!\));(?! )"
 
 #: Numeric features of a line, in the order in which training sees them.
 FEATURES = (
-    "length", "words", "word_length", "common", "letters", "digits", "symbols", "foreign", "cells", "cells_near", "marked", "marked_near",
-    "ends", "distinct", "run", "token", "mixed", "same", "length_before", "length_after", "longest_near", "commas",
+    "length", "words", "word_length", "common", "letters", "digits", "symbols", "cells", "cells_near", "marked", "marked_near",
+    "ends", "distinct", "token", "mixed", "same", "length_before", "length_after", "longest_near", "commas",
 )
 
 
@@ -41,9 +41,13 @@ def common_list(common: DataFrame) -> list[str]:
     return sorted(r.word for r in rows)
 
 
+#: Blanks inside and around lines.
+BLANKS = " \t\f\x0b\r"
+
+
 def clean(text: Column) -> Column:
     """Line ends as one character, outer blanks and byte-order marks gone."""
-    return F.regexp_replace(F.regexp_replace(text, r"\r\n?", "\n"), r"^[\s\x{FEFF}]+|\s+$", "")
+    return F.btrim(F.replace(F.replace(text, F.lit("\r\n"), F.lit("\n")), F.lit("\r"), F.lit("\n")), F.lit(BLANKS + "\n\ufeff"))
 
 
 def _times(text: Column, pattern: str) -> Column:
@@ -55,11 +59,6 @@ def _chars(text: Column, runs: str) -> Column:
     return F.length(text) - F.length(F.regexp_replace(text, runs, ""))
 
 
-def _parts(text, between: str) -> Column:
-    """The text cut at a pattern. Spark keeps a replacing pattern compiled, but compiles a cutting one for every row."""
-    return F.split(F.regexp_replace(text, between, " "), " ")
-
-
 def _where(text: Column, sign: str, count: Column) -> Column:
     """A count that needs a sign, made only for texts that have it."""
     return F.when(F.contains(text, F.lit(sign)), count).otherwise(0)
@@ -69,41 +68,53 @@ def _signs(text: Column, sign: str) -> Column:
     return F.length(text) - F.length(F.replace(text, F.lit(sign), F.lit("")))
 
 
+def _parts(text: Column) -> Column:
+    """The text cut at blanks."""
+    return F.array_remove(F.split(text, " "), "")
+
+
 def lines(documents: DataFrame, common: list[str]) -> DataFrame:
-    """doc_id, at and the FEATURES of every line that is not blank; whole texts, whatever their length.
+    """doc_id, at, line and the FEATURES of every line that is not blank; whole texts, whatever their length.
 
     A word is a run of letters; common words are looked up in lower case, those
-    that are no run of letters match nothing. Null and blank texts have no lines.
+    that are no run of letters match nothing. Lines stand without outer blanks. Null and blank texts have no lines.
     """
     d = spread(documents.select("doc_id", "text"), "doc_id").select("doc_id", clean(F.col("text")).alias("_t_")).where("_t_ <> ''")
-    d = d.select("doc_id", F.filter(F.split("_t_", r"\n\s*"), lambda x: x.rlike(r"\S")).alias("_lines_"))
+    d = d.select("doc_id", F.array_remove(F.transform(F.split("_t_", "\n"), lambda x: F.btrim(x, F.lit(BLANKS))), "").alias("_lines_"))
     d = d.withColumns({"_size_": F.transform("_lines_", F.length), "_mark_": F.transform("_lines_", lambda x: x.rlike(MARKER).cast("int")), "_cells_": F.transform("_lines_", _cells)})
     # what a line needs of its neighbours goes with it, so that no row carries the whole text along
     pick = lambda x, i: F.struct(x.alias("line"), *(F.coalesce(F.get(c, i + by), F.lit(0)).alias(f"{c}{by}") for c in ("_size_", "_mark_", "_cells_") for by in (-1, 0, 1)), *(F.coalesce((F.get("_lines_", i + by) == x).cast("int"), F.lit(0)).alias(f"_same_{by}") for by in (-1, 1)))
     e = d.select("doc_id", F.posexplode(F.transform("_lines_", pick)).alias("at", "_l_")).select("doc_id", "at", "_l_.*")
     best = lambda c: F.greatest(F.col(f"{c}-1"), F.col(f"{c}1"))
-    e = e.withColumn("_low_", F.lower("line")).withColumn("_words_", F.filter(_parts("_low_", r"[^\p{L}]+"), lambda w: w != ""))
-    low, size = F.col("_low_"), F.col("_size_0")
-    letters, words = F.aggregate("_words_", F.lit(0), lambda n, w: n + F.length(w)), F.size("_words_")
+    line, low, size = F.col("line"), F.col("_low_"), F.col("_size_0")
+    e = e.withColumn("_low_", F.lower("line"))
+    e = e.withColumns({"_words_": _parts(F.regexp_replace(low, r"[^\p{L}]+", " ")), "_tokens_": _parts(_spaced(low)), "_digits_": _chars(line, r"\p{N}+")})
+    e = e.withColumns({"_letters_": F.length(F.array_join("_words_", "")), "_n_": F.size("_words_"), "_m_": F.size("_tokens_")})
     known = F.size(F.filter("_words_", lambda w: w.isin(*common))) if common else F.lit(0)
     share = lambda x: x / F.greatest(size, F.lit(1))
-    per_word = lambda x: x / F.greatest(words, F.lit(1))
-    tokens = _parts(F.trim(low), r"\s+")
+    per_word = lambda x: x / F.greatest(F.col("_n_"), F.lit(1))
     measured = {
-        "length": size, "words": words, "word_length": per_word(letters), "common": per_word(known),
-        "letters": share(letters), "digits": share(_chars(F.col("line"), r"\p{N}+")), "symbols": share(_chars(F.col("line"), r"[^\p{L}\p{N}\s]+")),
-        "foreign": share(_chars(F.col("line"), r"[^\x00-\x7FäöüÄÖÜßáéíóúñàèùâêîôûëïçÁÉÍÓÚÑÀÈÙÂÊÎÔÛËÏÇœ¿¡’‘“”«»±°•–—…]+")),
+        "length": size, "words": F.col("_n_"), "word_length": per_word(F.col("_letters_")), "common": per_word(known),
+        "letters": share(F.col("_letters_")), "digits": share(F.col("_digits_")), "symbols": share(F.greatest(size - F.col("_letters_") - F.col("_digits_") - _signs(_spaced(line), " "), F.lit(0))),
         "cells": F.col("_cells_0"), "cells_near": best("_cells_"), "marked": F.col("_mark_0"),
         "marked_near": F.col("_mark_-1") + F.col("_mark_1"),
-        "ends": F.col("line").rlike(r"[.!?…]['\"”’)]*\s*$").cast("int"), "distinct": F.size(F.array_distinct(tokens)) / F.least(F.size(tokens), F.lit(50)),
-        "run": F.col("line").rlike(r"(\S)\1{7}").cast("int"), "token": F.array_max(F.transform(tokens, F.length)), "mixed": share(_times(F.col("line"), r"\p{L}\p{N}|\p{N}\p{L}|\p{Ll}\p{Lu}")),
+        # on a scale of logarithms, on which texts of any length compare: 0 for one token over and over, 1 for no token twice
+        "ends": line.rlike(r"[.!?…]['\"”’)]*$").cast("int"), "distinct": F.when(F.col("_m_") > 1, F.log(F.size(F.array_distinct("_tokens_")).cast("double")) / F.log(F.col("_m_").cast("double"))).otherwise(1.0),
+        "token": F.array_max(F.transform("_tokens_", F.length)), "mixed": share(_times(line, r"\p{L}\p{N}|\p{N}\p{L}|\p{Ll}\p{Lu}")),
         "same": F.col("_same_-1") + F.col("_same_1"),
         "length_before": F.col("_size_-1"), "length_after": F.col("_size_1"),
-        "longest_near": best("_size_"), "commas": _signs(F.col("line"), ", ") / 2,
+        "longest_near": best("_size_"), "commas": _signs(line, ", ") / 2,
     }
     return e.select("doc_id", "at", "line", *(measured[f].cast("double").alias(f) for f in FEATURES))
 
 
+def _spaced(text: Column) -> Column:
+    """The text with every blank a space."""
+    for c in BLANKS[1:]:
+        text = F.replace(text, F.lit(c), F.lit(" "))
+    return text
+
+
 def _cells(line: Column) -> Column:
     """Cells of a line under the separator that makes most: bars, tabs, semicolons, commas without a blank, wide gaps."""
     commas = _signs(line, ",") - (_signs(line, ", ") / 2).cast("int")
