@@ -26,11 +26,12 @@ MARKER = r"^\s*(?:[-*•·–—+>◦‣▪→]|\[[ xX]\]|\(?(?:[0-9]{1,4}|[A-Za
 #: A semicolon that parts cells: not one that ends a clause, a character entity or a call.
 SEMICOLON = r"(?<!&#?\w{1,6})(?<!\));(?! )"
 
-#: Numeric features of a line, in the order in which training sees them.
+#: Numeric features of a line, in the order in which training sees them; and what statistics need besides.
 FEATURES = (
-    "length", "words", "word_length", "common", "letters", "digits", "symbols", "cells", "cells_near", "marked", "marked_near",
-    "ends", "distinct", "token", "mixed", "same", "length_before", "length_after", "longest_near", "commas",
+    "length", "words", "word_length", "common", "letters", "digits", "cells", "cells_near", "marked", "marked_near",
+    "distinct", "token", "mixed", "same", "length_before", "length_after", "longest_near", "commas",
 )
+BESIDES = ("symbols", "ends")
 
 
 def common_list(common: DataFrame) -> list[str]:
@@ -74,7 +75,7 @@ def _parts(text: Column) -> Column:
 
 
 def lines(documents: DataFrame, common: list[str]) -> DataFrame:
-    """doc_id, at, line and the FEATURES of every line that is not blank; whole texts, whatever their length.
+    """doc_id, at, line, the FEATURES and what is BESIDES them of every line that is not blank; whole texts, whatever their length.
 
     A word is a run of letters; common words are looked up in lower case, those
     that are no run of letters match nothing. Lines stand without outer blanks. Null and blank texts have no lines.
@@ -95,7 +96,7 @@ def lines(documents: DataFrame, common: list[str]) -> DataFrame:
     per_word = lambda x: x / F.greatest(F.col("_n_"), F.lit(1))
     measured = {
         "length": size, "words": F.col("_n_"), "word_length": per_word(F.col("_letters_")), "common": per_word(known),
-        "letters": share(F.col("_letters_")), "digits": share(F.col("_digits_")), "symbols": share(F.greatest(size - F.col("_letters_") - F.col("_digits_") - _signs(_spaced(line), " "), F.lit(0))),
+        "letters": share(F.col("_letters_")), "digits": share(F.col("_digits_")), "symbols": share(F.greatest(size - F.col("_letters_") - F.col("_digits_") - _signs(line, " ") - sum(_where(line, c, _signs(line, c)) for c in BLANKS[1:-1]), F.lit(0))),
         "cells": F.col("_cells_0"), "cells_near": best("_cells_"), "marked": F.col("_mark_0"),
         "marked_near": F.col("_mark_-1") + F.col("_mark_1"),
         # on a scale of logarithms, on which texts of any length compare: 0 for one token over and over, 1 for no token twice
@@ -105,14 +106,13 @@ def lines(documents: DataFrame, common: list[str]) -> DataFrame:
         "length_before": F.col("_size_-1"), "length_after": F.col("_size_1"),
         "longest_near": best("_size_"), "commas": _signs(line, ", ") / 2,
     }
-    return e.select("doc_id", "at", "line", *(measured[f].cast("double").alias(f) for f in FEATURES))
+    return e.select("doc_id", "at", "line", *(measured[f].cast("double").alias(f) for f in FEATURES + BESIDES))
 
 
 def _spaced(text: Column) -> Column:
     """The text with every blank a space."""
-    for c in BLANKS[1:]:
-        text = F.replace(text, F.lit(c), F.lit(" "))
-    return text
+    other = BLANKS[1:-1]  # a carriage return has become a line end
+    return F.when(text.rlike(f"[{other}]"), F.regexp_replace(text, f"[{other}]", " ")).otherwise(text)
 
 
 def _cells(line: Column) -> Column:
