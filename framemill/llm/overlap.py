@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from framemill.functions.png import decode
-from framemill.session import checkpointed
+from framemill.session import checkpointed, written
 
 #: Grey levels of mean absolute difference up to which two pictures are near-same.
 MOST = 4.0
@@ -298,6 +298,46 @@ def _candidates(classes: DataFrame, most: float) -> DataFrame:
     return ev.groupBy(*key).cogroup(tr.groupBy(*(f"{c}_of_b" for c in key))).applyInArrow(_met(most), "rep_a bigint, rep_b bigint")
 
 
+def _against(most: float):
+    def compare(key: tuple, left: pa.Table, right: pa.Table) -> pa.Table:
+        a, b = left.column("row_id").to_numpy(), right.column("row_id").to_numpy()
+        out_a, out_b = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+        if len(a) and len(b):
+            grey = lambda t, c: np.frombuffer(b"".join(t.column(c).to_pylist()), "<u2").reshape(len(t), -1).astype(np.float32)
+            x, y = grey(left, "grey"), grey(right, "grey_b")
+            x, y = x - x.mean(axis=1, keepdims=True), y - y.mean(axis=1, keepdims=True)
+            for i in range(len(a)):
+                d = np.abs(y - x[i]).mean(axis=1) / 3
+                at = np.flatnonzero(d <= most + SLACK)
+                out_a.append(np.full(len(at), a[i]))
+                out_b.append(b[at])
+        return pa.table({"rep_a": pa.array(np.concatenate(out_a), pa.int64()), "rep_b": pa.array(np.concatenate(out_b), pa.int64())})
+
+    return compare
+
+
+def compared(rows: DataFrame, every: int, most: float = MOST) -> DataFrame:
+    """row_id_a, row_id_b: the pairs of rows whose row_id is divisible by ``every``, by comparing each with all rows, in blocks.
+
+    No search and no classes: what this finds is what there is. The queries meet
+    all rows, so the cost grows with the square of the table.
+    """
+    split = F.lower(F.regexp_replace("split", r"^\s+|\s+$", ""))
+    wanted = rows.select(F.col("row_id").cast("bigint").alias("row_id"), "image", split.alias("split")).where(F.col("split").isin("train", "val", "test") & F.col("image").isNotNull() & F.col("row_id").isNotNull())
+    grey = wanted.select("row_id", "image").mapInArrow(_pixels, "row_id bigint, height int, grey binary").join(wanted.select("row_id", (F.col("split") == "train").alias("train")), "row_id")
+    grey = written(grey.select("row_id", "height", F.length("grey").alias("size"), "train", "grey"))
+    n, shape = grey.count(), ["height", "size"]
+    of_q, of_r = max(-(-n // (every * 1024)), 1), max(-(-n // 16_384), 1)
+    block = lambda of: F.pmod(F.xxhash64("row_id"), F.lit(of)).cast("int")
+    every_block = lambda of: F.explode(F.sequence(F.lit(0), F.lit(of - 1)))
+    queries = grey.where(F.col("row_id") % every == 0).select(*shape, F.col("train").alias("side"), block(of_q).alias("q"), every_block(of_r).alias("r"), "row_id", "grey")
+    others = grey.select(*(F.col(c).alias(f"{c}_b") for c in shape), (~F.col("train")).alias("side_b"), every_block(of_q).alias("q_b"), block(of_r).alias("r_b"), "row_id", F.col("grey").alias("grey_b"))
+    met = queries.groupBy(*shape, "side", "q", "r").cogroup(others.groupBy("height_b", "size_b", "side_b", "q_b", "r_b")).applyInArrow(_against(most), "rep_a bigint, rep_b bigint")
+    pixels = grey.select("row_id", "grey")
+    both = met.join(pixels.toDF("rep_a", "grey_a"), "rep_a").join(pixels.toDF("rep_b", "grey_b"), "rep_b").mapInArrow(_verified(most), "rep_a bigint, rep_b bigint")
+    return both.select(F.least("rep_a", "rep_b").alias("row_id_a"), F.greatest("rep_a", "rep_b").alias("row_id_b")).distinct()
+
+
 class Overlap:
     """Cross-split overlaps of a picture table, by classes of exact copies.
 

@@ -156,7 +156,22 @@ def p9_statistics(spark: SparkSession, d: str) -> DataFrame:
     return s.select("doc_id", "lines", "chars", "words", *(F.round(c, 6).alias(c) for c in ("mean_word_length", "symbol_ratio", "punctuated_lines", "common_words", "list", "table", "junk", "prose")), "text_class")
 
 
-QUERIES = {f.__name__: f for f in (p1_found, p1_report, p4_found, p4_assigned, p4_groups, p4_quarantine, p4_checks, p6_sample, p7_packed, p7_fill, p7_mixture, p7_checks, p8_mixed, p8_shares, p8_checks, p9_found, p9_statistics)}
+def p9_counts(spark: SparkSession, d: str) -> DataFrame:
+    """The counts of p9_statistics that need no rules."""
+    s = quality.statistics(table(spark, d, "documents"), _common(spark, d))
+    return s.select("doc_id", "lines", "chars", "words", *(F.round(c, 6).alias(c) for c in ("mean_word_length", "punctuated_lines", "common_words")))
+
+
+def p1_checks(spark: SparkSession, d: str) -> DataFrame:
+    """Pairs of every row whose row_id is divisible by 50, found by comparing it with all rows: those that p1_found misses, and those it has besides."""
+    rows = table(spark, d, "make_parquet")
+    asked = F.expr("row_id_a % 50 = 0 or row_id_b % 50 = 0")
+    true, got = written(overlap.compared(rows, 50)), written(p1_found(spark, d).where(asked))
+    missed = true.exceptAll(got).agg(F.count(F.lit(1)).alias("pairs_missed"))
+    return _named(missed.crossJoin(got.exceptAll(true).agg(F.count(F.lit(1)).alias("pairs_wrong"))))  # one row each
+
+
+QUERIES = {f.__name__: f for f in (p1_found, p1_report, p1_checks, p4_found, p4_assigned, p4_groups, p4_quarantine, p4_checks, p6_sample, p7_packed, p7_fill, p7_mixture, p7_checks, p8_mixed, p8_shares, p8_checks, p9_found, p9_statistics, p9_counts)}
 
 _NODES = """k as (select row_id, lower(regexp_replace(obj_name, '^\\s+|\\s+$', '', 'g')) as o, lower(regexp_replace(capture, '^\\s+|\\s+$', '', 'g')) as c, lower(trim(split)) as s from make_parquet),
   n as (select row_id, s, case when o not in ('', 'unknown') then 'o:' || o end as o, case when c not in ('', 'unknown') then 'c:' || c end as c from k)"""
@@ -169,6 +184,7 @@ _GROUPS = f"""{_NODES},
   label as (select node, min(other) as label from reach group by node),
   g as (select n.row_id, n.s, coalesce(l.label, m.label, 'r:' || n.row_id) as label from n left join label l on l.node = n.o left join label m on m.node = n.c)"""
 
+_BLANKS = "' ' || chr(9) || chr(12) || chr(11) || chr(13)"
 _HASH = "cast(concat('0x', substr(md5({}), 1, 15)) as bigint)"
 
 
@@ -181,6 +197,16 @@ SQL = {
     "p4_groups": f"with recursive {_GROUPS} select min(row_id) as row_id, count(*) as records, cast(1 as bigint) as splits from g group by label",
     "p4_checks": f"""with recursive {_GROUPS} select 'rows' as name, count(*) as n from g union all select 'groups', count(distinct label) from g
   union all select name, 0 from (values ('groups_in_two_splits'), ('groups_that_left_their_split'), ('conflicts_not_quarantined'), ('quarantined_without_conflict')) t(name)""",
+    "p1_checks": "select name, 0 as n from (values ('pairs_missed'), ('pairs_wrong')) t(name)",
+    "p9_counts": f"""with t as (select doc_id, trim(replace(replace(text, chr(13) || chr(10), chr(10)), chr(13), chr(10)), {_BLANKS} || chr(10) || chr(65279)) as t from documents),
+  l as (select doc_id, trim(unnest(string_split(t, chr(10))), {_BLANKS}) as line from t where t <> ''),
+  w as (select doc_id, line, regexp_extract_all(lower(line), '\\p{{L}}+') as words from l where line <> ''),
+  c as (select list(distinct lower(trim(word))) as common from common_words where trim(word) <> '')
+  select doc_id, count(*) as lines, cast(sum(length(line)) as bigint) as chars, cast(sum(len(words)) as bigint) as words,
+    round(sum(length(array_to_string(words, ''))) / greatest(sum(len(words)), 1), 6) as mean_word_length,
+    round(avg(case when regexp_matches(line, '[.!?…][''"”’)]*$') then 1.0 else 0.0 end), 6) as punctuated_lines,
+    round(sum(len(list_filter(words, lambda x: list_contains(common, x)))) / greatest(sum(len(words)), 1), 6) as common_words
+  from w, c group by doc_id""",
     "p7_checks": """select 'texts' as name, count(*) as n from documents where text <> '' union all
   select name, 0 from (values ('texts_not_packed_once'), ('texts_split_that_fit'), ('containers_over_capacity'), ('windows_off_target')) t(name)""",
     "p8_checks": """select 'texts' as name, count(distinct t) as n from (select regexp_replace(regexp_replace(text, '\\r\\n?', chr(10), 'g'), '^[\\s\\x{FEFF}]+|\\s+$', '', 'g') as t from documents) where t <> '' union all
