@@ -2,9 +2,16 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from framemill.functions.ranks import md5_number
+from framemill.session import written
+
 KINDS = ("median", "mean", "stddev_pop")
 
 
@@ -15,7 +22,7 @@ def first_n(frames: DataFrame, group: list[str], order: list[str], n: int = 10)
 
 def random_n(frames: DataFrame, group: list[str], key: list[str], n: int, seed: int = 0) -> DataFrame:
     """n frames of each group (of all frames, for no group) without replacement, the same in every run: smallest hashes of seed and key."""
-    draw = F.xxhash64(F.lit(seed), *key)
+    draw = md5_number(F.lit(seed), *(F.col(c) for c in key))
     if not group:
         return frames.orderBy(draw, *key).limit(n)
     return first_n(frames.withColumn("_draw_", draw), group, ["_draw_", *key], n).drop("_draw_")
@@ -31,15 +38,39 @@ def elementwise(frames: DataFrame, group: list[str], column: str, kind: str = "m
     """One array per group: the median (mean, population deviation) of every position, in double.
 
     Frames of a group must have one length. Null frames are passed over; groups
-    of null frames only are left out. The median holds a group's values per
-    position, so take a selection of bounded size first.
+    of null frames only are left out. Frames stay arrays throughout: sums are added up
+    per batch before they move, and a median moves each frame once. It holds a
+    group's frames, so take a selection of bounded size first.
     """
     if kind not in KINDS:
         raise ValueError(f"kind must be one of {KINDS}")
-    f = {"median": F.median, "mean": F.avg, "stddev_pop": F.stddev_pop}[kind]
-    cells = frames.where(F.col(column).isNotNull()).select(*group, F.posexplode(column).alias("_pos_", "_v_"))
-    each = cells.groupBy(*group, "_pos_").agg(f(F.col("_v_").cast("double")).alias("_m_"))
-    return each.groupBy(*group).agg(F.transform(F.array_sort(F.collect_list(F.struct("_pos_", "_m_"))), lambda x: x["_m_"]).alias("base"))
+    keys = "".join(f"`{c}` {frames.schema[c].dataType.simpleString()}, " for c in group)
+    one = frames.where(F.col(column).isNotNull()).select(*group, F.col(column).cast("array<double>").alias("_v_"))
+    rows = lambda t: np.stack([np.array(v, float) for v in t.column("_v_").to_pylist()]) if len(t) else np.zeros((0, 0))  # noqa: E731 - null values are NaN
+
+    def partial(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            places: dict[tuple, list[int]] = {}
+            for i, key in enumerate(zip(*(b.column(c).to_pylist() for c in group))) if group else enumerate([()] * b.num_rows):
+                places.setdefault(key, []).append(i)
+            for at in places.values():
+                part = b.take(pa.array(at))
+                v = rows(part)
+                middle = v.mean(axis=0)  # deviations are summed about the batch's own mean, so that nothing cancels
+                head = [part.column(c).slice(0, 1) for c in group]
+                yield pa.RecordBatch.from_arrays([*head, pa.array([len(v)], pa.int64()), pa.array([middle.tolist()]), pa.array([((v - middle) ** 2).sum(axis=0).tolist()])], names=[*group, "n", "middle", "spread"])
+
+    def last(t: pa.Table) -> pa.Table:
+        if kind == "median":
+            base = np.median(rows(t), axis=0)
+        else:
+            n, middle, spread = np.array(t.column("n").to_pylist(), float)[:, None], np.array(t.column("middle").to_pylist(), float), np.array(t.column("spread").to_pylist(), float)
+            mean = (n * middle).sum(axis=0) / n.sum()
+            base = mean if kind == "mean" else np.sqrt((spread.sum(axis=0) + (n * (middle - mean) ** 2).sum(axis=0)) / n.sum())
+        return pa.table({**{c: t.column(c).slice(0, 1) for c in group}, "base": pa.array([base.tolist()], pa.list_(pa.float64()))})
+
+    moved = one if kind == "median" else one.mapInArrow(partial, f"{keys}n bigint, middle array<double>, spread array<double>")
+    return moved.groupBy(*(group or [F.lit(0)])).applyInArrow(last, f"{keys}base array<double>")
 
 
 def with_base(frames: DataFrame, bases: DataFrame, group: list[str]) -> DataFrame:
@@ -48,11 +79,20 @@ def with_base(frames: DataFrame, bases: DataFrame, group: list[str]) -> DataFram
 
 
 def head_consumed(frames: DataFrame, group: list[str], order: list[str], column: str, n: int = 10) -> DataFrame:
-    """The frames after the first n of each group, with the median of those n as base; groups of fewer than n give nothing."""
-    w = Window.partitionBy(*group).orderBy(*order)
-    numbered = frames.withColumn("_rn_", F.row_number().over(w))
-    head = at_least(numbered.where(F.col("_rn_") <= n), group, n)
-    return numbered.where(F.col("_rn_") > n).drop("_rn_").join(elementwise(head, group, column), group)
+    """The frames after the first n of each group, with the median of those n as base; groups of fewer than n give nothing.
+
+    Places are found by keys alone, and only the heads' frames are shuffled: the
+    last key of each head and its base go to where the others lie. Rows that tie with
+    the n-th in ``order`` are used up with it. Null groups give nothing; nulls sort first.
+    """
+    keys = frames.select(*group, *order)
+    heads = first_n(keys, group, order, n)
+    # the place in order that ends a head, one row per group
+    ends = heads.groupBy(*group).agg(F.max(F.struct(*order)).alias("_end_"), F.count(F.lit(1)).alias("_n_")).where(F.col("_n_") >= n).drop("_n_")
+    ends = written(ends)
+    place = F.struct(*order)
+    base = elementwise(frames.join(ends, group).where(place <= F.col("_end_")).select(*group, column), group, column)
+    return frames.join(ends.join(base, group), group).where(place > F.col("_end_")).select(*frames.columns, "base")
 
 
 def keep_or(decision: Column, base: Column) -> Column:

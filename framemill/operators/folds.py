@@ -1,4 +1,4 @@
-"""Decisions that feed back on themselves: background quota, deduplication among survivors, budget.
+"""Decisions that feed back on themselves: stride, background quota, deduplication among survivors, budget.
 
 They need the rows in order, but only their numbers. Rows are hashed to tasks by
 group, sorted there by Spark (which spills), and streamed through a small state:
@@ -8,31 +8,80 @@ a task holds one batch and at most ``lookback`` hashes, however long the group.
 from __future__ import annotations
 
 from collections import deque
+from dataclasses import dataclass
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from framemill.session import free_name
-
 ALL_BITS = 2**64 - 1
-DECISIONS = ("kept", "kept_empty", "background", "duplicate", "over_budget")
+DECISIONS = ("kept", "kept_empty", "strided", "background", "duplicate", "over_budget")
+#: The stride grows by a fifth at a check that finds more than this share of the budget kept.
+GROWTH, NEARLY = 1.2, 0.95
+
+
+@dataclass(frozen=True)
+class Rules:
+    """Which rules a fold applies; None leaves a rule out. every: kept rows between two checks of the stride."""
+
+    rate: float | None = None
+    distance: int | None = None
+    lookback: int = 30
+    budget: int | None = None
+    every: int | None = None
+
+
+class _Sieve:
+    """The state of one group, and its decision on the next row."""
+
+    def __init__(self, rules: Rules):
+        self.rules = rules
+        self.kept = self.empty = self.seen = 0
+        self.taken, self.stride = 0.0, 1.0  # the place, in rows, that the stride last reached; rows per step
+        self.unit: object = self
+        self.hashes: deque[int] = deque(maxlen=rules.lookback)
+
+    def decide(self, unit, passing, phash) -> str:
+        r = self.rules
+        if r.budget is not None and self.kept >= r.budget:
+            return "over_budget"
+        if unit != self.unit:
+            self.unit = unit
+            self.hashes.clear()
+        self.seen += 1
+        if r.every is not None:
+            if self.seen < self.taken + self.stride:
+                return "strided"
+            self.taken += self.stride
+        full = passing is None or passing
+        if r.rate is not None and not full and self.empty >= r.rate * max(self.kept, 1):
+            return "background"
+        if r.distance is not None and phash is not None:
+            if any(((phash ^ h) & ALL_BITS).bit_count() <= r.distance for h in self.hashes):
+                return "duplicate"
+            self.hashes.append(phash)
+        self.kept += 1
+        self.empty += not full
+        if r.every is not None and self.kept % r.every == 0 and self.kept > NEARLY * r.budget:
+            self.stride *= GROWTH
+        return "kept" if full else "kept_empty"
 
 
-def _streamed(df: DataFrame, group: list[str], order: list[str], make_state, columns: list[str]) -> DataFrame:
-    """Adds ``decision`` by running make_state()'s step over each group's rows in order."""
+def _streamed(df: DataFrame, group: list[str], order: list[str], rules: Rules, columns: list[str | None]) -> DataFrame:
+    """Adds ``decision`` by running the rules over each group's rows in order. columns: of unit, passing and hash; None where the rules need none."""
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema) + ", decision string"
 
     def run(batches):
-        last, step = None, None
+        last, sieve = None, None
         for b in batches:
+            none = [None] * b.num_rows
             keys = list(zip(*(b.column(c).to_pylist() for c in group))) if group else [()] * b.num_rows
-            rows = zip(*(b.column(c).to_pylist() for c in columns))
+            rows = zip(*(none if c is None else b.column(c).to_pylist() for c in columns))
             out = []
             for key, row in zip(keys, rows):
-                if step is None or key != last:
-                    last, step = key, make_state()
-                out.append(step(*row))
+                if sieve is None or key != last:
+                    last, sieve = key, _Sieve(rules)
+                out.append(sieve.decide(*row))
             yield pa.RecordBatch.from_arrays([*b.columns, pa.array(out, pa.string())], names=[*b.schema.names, "decision"])
 
     spread = df.repartition(*group) if group else df.repartition(1)
@@ -44,93 +93,30 @@ def dedupe(df: DataFrame, unit: list[str], order: list[str], phash: str = "phash
 
     Rows without a hash are kept and leave no trace. The comparison is with survivors, so no window function can express it.
     """
-
-    def make():
-        seen: deque[int] = deque(maxlen=lookback)
-
-        def step(h):
-            if h is None:
-                return "kept"
-            if any(((h ^ s) & ALL_BITS).bit_count() <= distance for s in seen):
-                return "duplicate"
-            seen.append(h)
-            return "kept"
-
-        return step
-
-    return _streamed(df, unit, order, make, [phash])
+    return _streamed(df, unit, order, Rules(distance=distance, lookback=lookback), [None, None, phash])
 
 
 def curate(
     df: DataFrame, source: list[str], unit: str, order: list[str], passing: str = "passing", phash: str = "phash",
-    rate: float = 0.015, distance: int | None = 4, lookback: int = 30, budget: int = 200_000,
+    rate: float = 0.015, distance: int | None = 4, lookback: int = 30, budget: int = 200_000, every: int | None = None,
 ) -> DataFrame:
     """Adds ``decision`` to the rows of each source, in order.
 
-    Once budget rows are kept the rest is 'over_budget'. A row that does not pass
+    Once budget rows are kept the rest is 'over_budget'. With ``every``, rows that
+    the stride passes over are 'strided'; the stride starts at one row and grows by a
+    fifth at every ``every`` kept rows beyond 95 % of the budget. A row that does not pass
     is 'background' while the kept empty rows reach rate times the kept rows (1 at
     least). Then a row close to one of the last kept hashes of its unit is a
     'duplicate' (distance None: no comparison). The rest is 'kept' or 'kept_empty'.
     The quota counts over the whole source, hashes are forgotten when ``unit``
     changes. A null ``passing`` means no baseline: the row passes.
     """
-
-    def make():
-        kept = empty = 0
-        seen: deque[int] = deque(maxlen=lookback)
-        at = object()
-
-        def step(u, ok, h):
-            nonlocal kept, empty, at
-            if kept >= budget:
-                return "over_budget"
-            if u != at:
-                at = u
-                seen.clear()
-            ok = ok is None or ok
-            if not ok and empty >= rate * max(kept, 1):
-                return "background"
-            if distance is not None and h is not None:
-                if any(((h ^ s) & ALL_BITS).bit_count() <= distance for s in seen):
-                    return "duplicate"
-                seen.append(h)
-            kept += 1
-            empty += not ok
-            return "kept" if ok else "kept_empty"
-
-        return step
-
-    return _streamed(df, source, order, make, [unit, passing, phash])
+    return _streamed(df, source, order, Rules(rate, distance, lookback, budget, every), [unit, passing, phash])
 
 
 def live_stride(df: DataFrame, source: list[str], order: list[str], budget: int, every: int = 5000) -> DataFrame:
-    """Adds ``decision``: 'kept', 'strided' or 'over_budget'.
-
-    A row is kept when the rows seen since have paid for the stride. At every
-    ``every`` kept rows the stride grows by a fifth beyond 95 % of the budget, by a
-    half beyond all of it; at the budget the source ends.
-    """
-
-    def make():
-        stride, credit, kept = 1.0, 0.0, 0
-
-        def step(_):
-            nonlocal stride, credit, kept
-            if kept >= budget:
-                return "over_budget"
-            credit += 1.0
-            if credit < stride:
-                return "strided"
-            credit -= stride
-            kept += 1
-            if kept % every == 0:
-                stride *= 1.5 if kept > budget else 1.2 if kept > 0.95 * budget else 1.0
-            return "kept"
-
-        return step
-
-    marked = free_name(df, "seen")
-    return _streamed(df.withColumn(marked, F.lit(True)), source, order, make, [marked]).drop(marked)
+    """Adds ``decision``: 'kept', 'strided' or 'over_budget', by the stride and the budget of ``curate`` alone."""
+    return _streamed(df, source, order, Rules(budget=budget, every=every), [None, None, None])
 
 
 def counters(decided: DataFrame, by: list[str]) -> DataFrame:
@@ -138,6 +124,6 @@ def counters(decided: DataFrame, by: list[str]) -> DataFrame:
     d = F.col("decision")
     count = lambda *k: F.count(F.when(d.isin(*k), 1))
     return decided.groupBy(*by).agg(
-        count("kept", "kept_empty", "background", "duplicate").alias("n_seen"), count("kept", "kept_empty").alias("n_kept"),
+        count("kept", "kept_empty", "strided", "background", "duplicate").alias("n_seen"), count("kept", "kept_empty").alias("n_kept"),
         count("kept_empty").alias("n_empty_kept"), count("duplicate").alias("n_dup_dropped"),
     )

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from framemill.functions import ranks
+from framemill.session import checkpointed, shuffle_width
 
 
 def _placed(df: DataFrame, by: list[str], order: list[str]) -> DataFrame:
@@ -79,20 +80,20 @@ def peaks_or_fallback(df: DataFrame, by: list[str], score: Column, order: list[s
     """Up to k peaks of at least least per group; a group without any gives, with probability rate by a stable hash, one random row instead. Adds ``fallback``."""
     s = df.withColumn("_s_", score)
     good = top_k(s.where(F.col("_s_") >= least), by, F.col("_s_"), order, k).drop("rank").withColumn("fallback", F.lit(False))
-    empty = s.groupBy(*by).agg(F.max("_s_").alias("_m_")).where((F.coalesce(F.col("_m_"), F.lit(float("-inf"))) < least) & (_unit(F.xxhash64(F.lit(seed), *by)) < rate)).drop("_m_")
-    draw = s.join(empty, by, "left_semi").withColumn("_d_", F.xxhash64(F.lit(seed + 1), *by, *order))
+    empty = s.groupBy(*by).agg(F.max("_s_").alias("_m_")).where((F.coalesce(F.col("_m_"), F.lit(float("-inf"))) < least) & (_draw(seed, *by) < rate)).drop("_m_")
+    draw = s.join(empty, by, "left_semi").withColumn("_d_", _draw(seed + 1, *by, *order))
     spare = top_k(draw, by, -F.col("_d_"), order, 1).drop("rank", "_d_").withColumn("fallback", F.lit(True))
     return good.unionByName(spare).drop("_s_")
 
 
-def _unit(h: Column) -> Column:
-    """A 64-bit hash as a number in [0, 1)."""
-    return F.pmod(h, F.lit(2**53)) / F.lit(float(2**53))
+def _draw(seed: int, *key: Column | str) -> Column:
+    """A number in [0, 1) from seed and key alone, which other engines compute alike."""
+    return ranks.md5_number(F.lit(seed), *(F.col(k) if isinstance(k, str) else k for k in key)) / F.lit(2.0**60)
 
 
 def bernoulli(df: DataFrame, key: list[str], rate: float, seed: int = 0, always: Column | None = None) -> DataFrame:
     """Keeps each row with probability rate, decided by a hash of seed and key alone; rows that satisfy ``always`` stay."""
-    draw = _unit(F.xxhash64(F.lit(seed), *key)) < rate
+    draw = _draw(seed, *key) < rate
     return df.where(draw if always is None else F.coalesce(always, F.lit(False)) | draw)
 
 
@@ -154,10 +155,28 @@ def renumber(df: DataFrame, sequence: str, order: list[str]) -> DataFrame:
 
 
 def run_ids(df: DataFrame, key: str, order: list[str], by: list[str]) -> DataFrame:
-    """Adds ``run``: number, from 1, of the stretch of equal keys within each group's order (null equals null)."""
-    w = Window.partitionBy(*by).orderBy(*order)
-    change = F.when(F.col(key).eqNullSafe(F.lag(key).over(w)) & (F.row_number().over(w) > 1), 0).otherwise(1)
-    return df.withColumn("_c_", change).withColumn("run", F.sum("_c_").over(w)).drop("_c_")
+    """Adds ``run``: number, from 1, of the stretch of equal keys within each group's order (null equals null).
+
+    Groups are cut into ranges of their order, so none lies in one task; each range
+    numbers its own stretches, and its neighbours' last keys tell how they join.
+    """
+    keys = [*by, *order]
+    spark = df.sparkSession
+    cut = checkpointed(df.repartitionByRange(2 * shuffle_width(spark), *keys).withColumn("_piece_", F.spark_partition_id()))
+    inside = Window.partitionBy(*by, "_piece_").orderBy(*order)
+    first = F.row_number().over(inside) == 1
+    change = F.when(~first & ~F.col(key).eqNullSafe(F.lag(key).over(inside)), 1).otherwise(0)
+    cut = cut.withColumn("_c_", change).withColumn("_c_", F.sum("_c_").over(inside.rowsBetween(Window.unboundedPreceding, 0)))
+    names = [f"_by{i}_" for i in range(len(by))]
+    low, high = F.min_by(F.struct(key), F.struct(*order)), F.max_by(F.struct(key), F.struct(*order))
+    pieces = cut.groupBy(*(F.col(c).alias(g) for c, g in zip(by, names)), F.col("_piece_").alias("_p_")).agg(low.alias("_low_"), high.alias("_high_"), F.max("_c_").alias("_n_"))
+    w = Window.partitionBy(*(names or [F.lit(0)])).orderBy("_p_")  # at most one row per range and group
+    joins = F.when(F.lag("_high_").over(w).isNull() | ~F.lag("_high_").over(w).eqNullSafe(F.col("_low_")), 1).otherwise(0)
+    pieces = pieces.withColumn("_j_", joins).withColumn("_start_", F.sum("_j_").over(w) + F.coalesce(F.sum("_n_").over(w.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
+    cond = F.col("_piece_") == F.col("_p_")
+    for c, g in zip(by, names):
+        cond = cond & F.col(c).eqNullSafe(F.col(g))
+    return cut.join(pieces, cond).withColumn("run", F.col("_start_") + F.col("_c_")).select(*df.columns, "run")
 
 
 def in_window(times: Column, start: Column, end: Column) -> Column:
@@ -182,7 +201,7 @@ def systematic(df: DataFrame, order: list[str], n: int, scanned: int = 8000) ->
 
 def hash_sample(df: DataFrame, key: list[str], n: int, seed: int = 0) -> DataFrame:
     """n rows without replacement: the smallest hashes of seed and key. Each task sends at most n rows."""
-    return df.withColumn("_h_", F.xxhash64(F.lit(seed), *key)).orderBy("_h_", *key).limit(n).drop("_h_")
+    return df.withColumn("_h_", _draw(seed, *key)).orderBy("_h_", *key).limit(n).drop("_h_")
 
 
 def nearest(df: DataFrame, value: Column, to: float, order: list[str], k: int) -> DataFrame:

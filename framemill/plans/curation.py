@@ -23,6 +23,15 @@ QUERIES: dict = {}
 SQL: dict[str, str] = {}
 
 
+def drawn(seed: int, *columns: str) -> str:
+    """SQL of selection's and baselines' draws: a number in [0, 2 ** 60) from seed and columns."""
+    return f"cast(concat('0x', substr(md5(concat_ws(':', '{seed}', {', '.join(columns)})), 1, 15)) as bigint)"
+
+
+#: 2 ** 60 in SQL.
+WHOLE = "1152921504606846976.0"
+
+
 def query(sql: str | None = None):
     def add(f):
         QUERIES[f.__name__] = f
@@ -42,16 +51,16 @@ def frames(spark: SparkSession, d: str) -> DataFrame:
 
 
 def measured(spark: SparkSession, d: str) -> DataFrame:
-    """capture, frame_idx, frame, area, intensity against the median of the whole capture."""
+    """capture, frame_idx, frame, area, intensity against the median of the capture's first 100 frames."""
     f = frames(spark, d)
-    m = baselines.with_base(f, baselines.elementwise(f, ["capture"], "frame"), ["capture"])
+    m = baselines.with_base(f, baselines.strategy("first_n", f, "frame", ["capture"], ["frame_idx"], 100), ["capture"])
     return m.withColumn("m", arrays.contact(F.col("frame"), F.col("base"), PIXEL)).select("capture", "frame_idx", "frame", "base", "m.area", "m.intensity")
 
 
 # the frames of SQL: one row per value, and the metrics against the median of a group
 _CELLS = "cells as (select label as capture, vec_id as frame_idx, unnest(range(1, len(embedding) + 1)) as pos, cast(unnest(embedding) as double) as v from embeddings)"
 _METRICS = f"""{_CELLS},
-  bases as (select capture, pos, median(v) as b from cells group by all),
+  bases as (select capture, pos, median(v) as b from (select *, dense_rank() over (partition by capture order by frame_idx) as rn from cells) where rn <= 100 group by all),
   met as (select c.capture, c.frame_idx, cast(count(*) filter (where abs(v - b) > {PIXEL}) as int) as area,
       coalesce(avg(abs(v - b)) filter (where abs(v - b) > {PIXEL}), 0.0) as intensity, avg(abs(v - b)) as deformation
     from cells c join bases using (capture, pos) group by all)"""
@@ -77,15 +86,16 @@ def contact_filter_head(spark, d):
 
 
 @query(
-    f"""with {_CELLS}, bases as (select capture, pos, median(v) as b, greatest(stddev_pop(v), 0.05) as s from cells group by all),
+    f"""with {_CELLS}, bases as (select capture, pos, median(v) as b, greatest(stddev_pop(v), 0.05) as s from (select *, dense_rank() over (partition by capture order by frame_idx) as rn from cells) where rn <= 100 group by all),
   met as (select c.capture, c.frame_idx, cast(count(*) filter (where abs(v - b) / s > 1.5) as int) as area, coalesce(avg(abs(v - b) / s) filter (where abs(v - b) / s > 1.5), 0.0) as intensity
     from cells c join bases using (capture, pos) group by all)
   select capture, frame_idx, area, round(intensity, 6) as intensity from met where area >= 6 and intensity >= 1.8"""
 )
 def zscore_filter(spark, d):
     f = frames(spark, d)
-    std = baselines.elementwise(f, ["capture"], "frame", "stddev_pop").withColumnRenamed("base", "std")
-    m = f.join(baselines.elementwise(f, ["capture"], "frame"), "capture").join(std, "capture")
+    some = baselines.first_n(f, ["capture"], ["frame_idx"], 100)
+    std = baselines.elementwise(some, ["capture"], "frame", "stddev_pop").withColumnRenamed("base", "std")
+    m = f.join(baselines.elementwise(some, ["capture"], "frame"), "capture").join(std, "capture")
     m = m.withColumn("m", arrays.zscore(F.col("frame"), F.col("base"), F.col("std"), 0.05, 1.5)).select("capture", "frame_idx", "m.area", "m.intensity")
     return m.where("area >= 6 and intensity >= 1.8").select("capture", "frame_idx", "area", *r6("intensity"))
 
@@ -127,34 +137,82 @@ def phash_pairs(spark, d):
     return p.select("capture", "frame_a", F.col("b.frame_idx").alias("frame_b"), arrays.hamming(F.col("h"), F.col("b.h")).alias("distance")).where("distance <= 24")
 
 
+_DECIDED = f"""{_METRICS}, {_BITS.removeprefix(_CELLS + ', ')},
+  d as (select capture, frame_idx, area >= {A_MIN} and round(intensity, 6) >= 0 and intensity >= {I_MIN} as ok, cast(hash_bits as bit) as h from met join bits using (capture, frame_idx))"""
+
+
+def fold(rows: str, out: str, rate: float | None = None, distance: int | None = None, lookback: int = 30, budget: int | None = None, every: int | None = None) -> str:
+    """SQL that walks rows (g, rn from 1, unit, ok, h, ...) one by one per g, as folds.curate does."""
+    say = " ".join(
+        [
+            f"when kept >= {budget} then 'over_budget'" if budget is not None else "",
+            "when n1 < taken + stride then 'strided'" if every is not None else "",
+            f"when not ok and empty >= {rate} * greatest(kept, 1) then 'background'" if rate is not None else "",
+            f"when len(list_filter(seen1, lambda x: bit_count(xor(x, h)) <= {distance})) > 0 then 'duplicate'" if distance is not None else "",
+        ]
+    )
+    grow = f"case when said in ('kept', 'kept_empty') and (kept + 1) % {every} = 0 and kept + 1 > 0.95 * {budget} then stride * 1.2 else stride end" if every is not None else "stride"
+    takes = "said in ('kept', 'kept_empty')"
+    return f"""with recursive {rows},
+  f(g, rn, n, taken, stride, kept, empty, unit, seen, decision, capture, frame_idx, run) as (
+    select distinct g, cast(0 as bigint), 0, cast(0 as double), cast(1 as double), 0, 0, cast(null as varchar), cast([] as bit[]), '', cast(null as int), cast(null as bigint), cast(null as bigint) from rows
+    union all
+    select g, rn, n1, case when said in ('over_budget', 'strided') then taken else taken + stride end, {grow}, kept + cast({takes} as int), empty + cast(said = 'kept_empty' as int), unit,
+      case when {takes} then list_append(seen1, h)[-{lookback}:] else seen1 end, said, capture, frame_idx, run
+    from (select *, case {say} when ok then 'kept' else 'kept_empty' end as said
+      from (select r.*, f.n + 1 as n1, f.taken, f.stride, f.kept, f.empty, case when r.unit is distinct from f.unit then cast([] as bit[]) else f.seen end as seen1 from f join rows r on r.g = f.g and r.rn = f.rn + 1)))
+  {out}"""
+
+
+_BY_CAPTURE = f"{_DECIDED}, rows as (select capture as g, row_number() over (partition by capture order by frame_idx) as rn, '' as unit, true as ok, h, capture, frame_idx, cast(null as bigint) as run from d)"
+_BY_RUN = f"""{_DECIDED}, c as (select *, case when capture is not distinct from lag(capture) over (order by frame_idx) and row_number() over (order by frame_idx) > 1 then 0 else 1 end as c from d),
+  r as (select *, cast(sum(c) over (order by frame_idx rows unbounded preceding) as bigint) as run from c),
+  rows as (select run as g, row_number() over (partition by run order by frame_idx) as rn, '' as unit, true as ok, h, capture, frame_idx, run from r)"""
+_BY_SOURCE = f"{_DECIDED}, rows as (select 'embeddings' as g, row_number() over (order by capture, frame_idx) as rn, cast(capture as varchar) as unit, ok, h, capture, frame_idx, cast(null as bigint) as run from d)"
+_ROWS = "select capture, frame_idx, decision from f where rn > 0"
+
+
 def _decided(spark, d):
     m = measured(spark, d).withColumns({"source": F.lit("embeddings"), "passing": arrays.passes(F.col("area"), F.col("intensity"), A_MIN, I_MIN), "phash": arrays.median_bits(F.col("frame"))})
     return m.select("source", "capture", "frame_idx", "area", *r6("intensity"), "passing", "phash")
 
 
-@query()
+@query(fold(_BY_CAPTURE, _ROWS, distance=20, lookback=5))
 def window_dedupe(spark, d):
     return folds.dedupe(_decided(spark, d), ["capture"], ["frame_idx"], distance=20, lookback=5).select("capture", "frame_idx", "decision")
 
 
-@query()
+@query(fold(_BY_RUN, "select frame_idx, run, decision from f where rn > 0", distance=20, lookback=5))
 def run_dedupe(spark, d):
     """A new unit at every change of capture along the order of frames."""
     m = _decided(spark, d)
     return folds.dedupe(selection.run_ids(m, "capture", ["frame_idx"], ["source"]), ["source", "run"], ["frame_idx"], distance=20, lookback=5).select("frame_idx", "run", "decision")
 
 
-@query()
+@query(fold(_BY_SOURCE, _ROWS, 0.1, 18, 5, 400))
 def curate_full(spark, d):
     return folds.curate(_decided(spark, d), ["source"], "capture", ["capture", "frame_idx"], rate=0.1, distance=18, lookback=5, budget=400).select("capture", "frame_idx", "decision")
 
 
-@query()
+@query(
+    fold(
+        _BY_SOURCE,
+        """select g as source, count(*) filter (where decision <> 'over_budget') as n_seen, count(*) filter (where decision like 'kept%') as n_kept, count(*) filter (where decision = 'kept_empty') as n_empty_kept,
+    count(*) filter (where decision = 'duplicate') as n_dup_dropped from f where rn > 0 group by g""",
+        0.1, 18, 5, 400,
+    )
+)
 def run_counters(spark, d):
     return folds.counters(folds.curate(_decided(spark, d), ["source"], "capture", ["capture", "frame_idx"], rate=0.1, distance=18, lookback=5, budget=400), ["source"])
 
 
-@query()
+@query(fold(_BY_SOURCE, _ROWS, 0.1, 18, 5, 150, 20))
+def curate_strided(spark, d):
+    """The fold with the live stride among its rules."""
+    return folds.curate(_decided(spark, d), ["source"], "capture", ["capture", "frame_idx"], rate=0.1, distance=18, lookback=5, budget=150, every=20).select("capture", "frame_idx", "decision")
+
+
+@query(fold(_BY_SOURCE, _ROWS, budget=300, every=50))
 def live_stride(spark, d):
     return folds.live_stride(_decided(spark, d), ["source"], ["capture", "frame_idx"], 300, 50).select("capture", "frame_idx", "decision")
 
@@ -164,7 +222,7 @@ def bernoulli_keep(spark, d):
     return table(spark, d, "events").where(selection.bernoulli_md5(F.col("event_id"), 0.3, "s1:")).select("event_id", "user_id", "value")
 
 
-@query()
+@query(f"select event_id, event_type from events where event_type = 'purchase' or {drawn(7, 'event_id')} / {WHOLE} < 0.015")
 def bernoulli_stable(spark, d):
     return selection.bernoulli(table(spark, d, "events"), ["event_id"], 0.015, 7, always=F.col("event_type") == "purchase").select("event_id", "event_type")
 
@@ -222,7 +280,11 @@ def top_k_per_group(spark, d):
     return selection.top_k(table(spark, d, "events").select("user_id", "event_id", "value"), ["user_id"], F.col("value"), ["event_id"], 3)
 
 
-@query()
+@query(
+    f"""with good as (select user_id, event_id, value, false as fallback from events where value >= 120 qualify row_number() over (partition by user_id order by value desc, event_id) <= 2),
+  empty as (select user_id from events group by user_id having coalesce(max(value), -1e300) < 120 and {drawn(5, 'user_id')} / {WHOLE} < 0.3)
+  select * from good union all select user_id, event_id, value, true from events where user_id in (select user_id from empty) qualify row_number() over (partition by user_id order by {drawn(6, 'user_id', 'event_id')}, event_id) = 1"""
+)
 def peaks_or_fallback(spark, d):
     return selection.peaks_or_fallback(table(spark, d, "events").select("user_id", "event_id", "value"), ["user_id"], F.col("value"), ["event_id"], 2, 120, 0.3, 5)
 
@@ -264,7 +326,7 @@ def systematic_sample(spark, d):
     return selection.systematic(table(spark, d, "events").select("event_id"), ["event_id"], 500, 8000)
 
 
-@query()
+@query(f"select row_id, source from make_parquet order by {drawn(3, 'row_id')}, row_id limit 100")
 def hash_sample(spark, d):
     return selection.hash_sample(table(spark, d, "make_parquet").select("row_id", "source"), ["row_id"], 100, 3)
 

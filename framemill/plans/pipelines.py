@@ -8,6 +8,8 @@ from pyspark.sql import functions as F
 from framemill import schema
 from framemill.functions import arrays
 from framemill.operators import balance, baselines, folds, names, pixels, selection
+from framemill.plans.curation import WHOLE, drawn
+from framemill.plans.curation import fold as fold_sql
 from framemill.session import checkpointed, table
 
 SHAPE = ["height", "width"]
@@ -121,7 +123,7 @@ def contact_sample(frames: DataFrame, group: list[str], key: list[str], a_min: f
 
 
 def _frames(spark: SparkSession, d: str) -> DataFrame:
-    return table(spark, d, "embeddings").select(F.col("label").alias("capture"), F.col("vec_id").alias("frame_idx"), F.transform("embedding", lambda v: v * 100).alias("frame"))
+    return table(spark, d, "embeddings").select(F.col("label").alias("capture"), F.col("vec_id").alias("frame_idx"), F.transform("embedding", lambda v: v.cast("double") * 100).alias("frame"))
 
 
 def _greys(spark: SparkSession, d: str, name: str, keep: list[str]) -> DataFrame:
@@ -157,7 +159,7 @@ def pl_force(spark: SparkSession, d: str) -> DataFrame:
 
 def pl_dedupe_cap(spark: SparkSession, d: str) -> DataFrame:
     h = _frames(spark, d).select("capture", "frame_idx", arrays.median_bits(F.col("frame")).alias("phash"))
-    return deduped_and_capped(h, ["capture"], ["frame_idx"], 200, 20, 5)
+    return deduped_and_capped(h, ["capture"], ["frame_idx"], 200, 20, 5).select("capture", "frame_idx", F.lpad(F.bin("phash"), 64, "0").alias("hash_bits"))
 
 
 def pl_compose(spark: SparkSession, d: str) -> DataFrame:
@@ -182,4 +184,51 @@ def pl_contact_sample(spark: SparkSession, d: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (pl_curate, pl_refilter, pl_refilter_zscore, pl_reingest, pl_force, pl_dedupe_cap, pl_compose, pl_peaks, pl_sequences, pl_contact_sample)}
-SQL: dict[str, str] = {}
+_CELLS = "cells as (select label as capture, vec_id as frame_idx, unnest(range(1, len(embedding) + 1)) as pos, cast(unnest(embedding) as double) * 100 as v from embeddings)"
+
+
+def _bases(n: int | None, seed: int = 0) -> str:
+    """SQL of the median and deviation of n random frames of each capture, or of all."""
+    some = f" where (capture, frame_idx) in (select (capture, frame_idx) from (select label as capture, vec_id as frame_idx from embeddings) qualify row_number() over (partition by capture order by {drawn(seed, 'frame_idx')}, frame_idx) <= {n})" if n else ""
+    return f"bases as (select capture, pos, median(v) as b, stddev_pop(v) as s from cells{some} group by all)"
+
+
+def _met(far: str, least: float) -> str:
+    return f"met as (select c.capture, c.frame_idx, cast(count(*) filter (where {far} > {least}) as int) as area, coalesce(avg({far}) filter (where {far} > {least}), 0.0) as intensity from cells c join bases using (capture, pos) group by all)"
+
+
+_BITS = """mid as (select capture, frame_idx, quantile_disc(v, 0.5) filter (where pos > 1) as m from cells group by all),
+  bits as (select capture, frame_idx, string_agg(case when v > m then '1' else '0' end, '' order by pos) as hash_bits from cells join mid using (capture, frame_idx) group by all),
+  d as (select capture, frame_idx, cast(hash_bits as bit) as h from bits), rows as (select capture as g, row_number() over (partition by capture order by frame_idx) as rn, '' as unit, true as ok, h, capture, frame_idx, cast(null as bigint) as run from d)"""
+_SHAPES = ", ".join(f"'{s}'" for s in names.SHAPES_LATER)
+_GELS = " ".join(f"when '{k}' then '{v}'" for k, v in names.GEL_BY_SPLIT.items())
+
+SQL: dict[str, str] = {
+    "pl_refilter": f"""with {_CELLS}, {_bases(30)}, {_met('abs(v - b)', 10)}
+  select capture, frame_idx, area, round(intensity, 6) as intensity from met where area >= 20 and intensity >= 15 or {drawn(0, 'frame_idx')} / {WHOLE} < 0.015""",
+    "pl_refilter_zscore": f"""with {_CELLS}, {_bases(30)}, {_met('abs(v - b) / greatest(s, 1.0)', 3)}
+  select capture, frame_idx, area, round(intensity, 6) as intensity from met where area >= 1 and intensity >= 3.2 or {drawn(0, 'frame_idx')} / {WHOLE} < 0.015""",
+    "pl_reingest": """with p as (select *, row_number() over (order by l_suppkey, l_orderkey, l_linenumber, l_partkey, l_quantity, l_extendedprice) - 1 as p from lineitem), s as (select * from p where p % 2 = 0),
+  f as (select l_suppkey, sum(case when l_quantity > 25 then 1 else 0 end) as n from s group by 1),
+  b as (select l_suppkey, coalesce(sum(n) over (order by l_suppkey rows between unbounded preceding and 1 preceding), 0) as before from f),
+  k as (select *, row_number() over (order by p) - 1 as q, count(*) over () as n from s where l_quantity > 25 and l_suppkey in (select l_suppkey from b where before <= 1.5 * 1000))
+  select l_suppkey, l_orderkey, l_linenumber, l_partkey, l_quantity, l_extendedprice from k where n <= 1000 or q = n - 1 or exists (select 1 from range(0, 999) t(i) where floor(i * (cast(n - 1 as double) / 999.0)) = k.q)""",
+    "pl_force": f"""with k as (select row_id, capture, split, f_z, string_split(capture, '_') as w from make_parquet where source = 'feats' and (abs(f_z) >= 5.0 or {drawn(0, 'row_id')} / {WHOLE} < 0.015)),
+  p as (select *, list_position([lower(x) in ({_SHAPES}) for x in w], true) as place from k)
+  select row_id, capture, split, f_z, case when place > 0 then lower(w[place]) else 'unknown' end as indenter, case when place > 0 then coalesce(w[place + 1], '') else '' end as indenter_param,
+    coalesce(case split {_GELS} end, 'unknown') as gel_variant from p""",
+    "pl_dedupe_cap": fold_sql(
+        f"{_CELLS}, {_BITS}",
+        """, k as (select f.capture, f.frame_idx, row_number() over (order by f.capture, f.frame_idx) - 1 as p, count(*) over () as n from f where rn > 0 and decision = 'kept')
+  select capture, frame_idx, cast(hash_bits as varchar) as hash_bits from k join bits using (capture, frame_idx) where n <= 200 or exists (select 1 from range(0, 200) t(i) where floor(i * (cast(n as double) / 200.0)) = k.p)""",
+        distance=20, lookback=5,
+    ),
+    "pl_peaks": f"""with {_CELLS}, {_bases(None)}, {_met('abs(v - b)', 10)}, sc as (select *, case when area >= 20 then intensity else 0.0 end as score from met),
+  good as (select capture, frame_idx, area, intensity, false as fallback from sc where score >= 15 qualify row_number() over (partition by capture order by score desc, frame_idx) <= 3),
+  empty as (select capture from sc group by capture having max(score) < 15 and {drawn(1, 'capture')} / {WHOLE} < 0.5)
+  select capture, frame_idx, area, round(intensity, 6) as intensity, fallback from good union all
+  select capture, frame_idx, area, round(intensity, 6), true from sc where capture in (select capture from empty) qualify row_number() over (partition by capture order by {drawn(2, 'capture', 'frame_idx')}, frame_idx) = 1""",
+    "pl_contact_sample": f"""with {_CELLS}, {_bases(30)}, {_met('abs(v - b)', 10)},
+  few as (select * from met order by {drawn(1, 'frame_idx')}, frame_idx limit 1200)
+  select capture, frame_idx, area, round(intensity, 6) as intensity from few where area >= 20 and intensity >= 15 order by {drawn(2, 'frame_idx')}, frame_idx limit 40""",
+}

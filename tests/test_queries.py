@@ -6,7 +6,7 @@ from framemill.plans import corpus, curation, pipelines
 from tests.oracle import same, views
 
 QUERIES = {**curation.QUERIES, **pipelines.QUERIES, **corpus.QUERIES}
-SQL = {**curation.SQL, **corpus.SQL}
+SQL = {**curation.SQL, **pipelines.SQL, **corpus.SQL}
 
 
 @pytest.fixture(scope="module")
