@@ -70,7 +70,7 @@ def elementwise(frames: DataFrame, group: list[str], column: str, kind: str = "m
         return pa.table({**{c: t.column(c).slice(0, 1) for c in group}, "base": pa.array([base.tolist()], pa.list_(pa.float64()))})
 
     moved = one if kind == "median" else one.mapInArrow(partial, f"{keys}n bigint, middle array<double>, spread array<double>")
-    return moved.groupBy(*(group or [F.lit(0)])).applyInArrow(last, f"{keys}base array<double>")
+    return moved.groupBy(*(group or [F.lit("all").alias("_all_")])).applyInArrow(last, f"{keys}base array<double>")
 
 
 def with_base(frames: DataFrame, bases: DataFrame, group: list[str]) -> DataFrame:

@@ -15,19 +15,14 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from framemill.schema import VIDEO
 from framemill.session import written
 
 #: Distinct field names that the alias table may hold on the driver; a schema, not data, so beyond it the input is no set of tables.
 MAX_NAMES = 100_000
 
 #: Names and types of the consistent table: the widest corpus layout without its picture.
-FIELDS = {
-    "source": "string", "capture": "string", "split": "string", "obj_name": "string", "markered": "boolean", "height": "int", "width": "int",
-    "init_pose": "int", "side": "string", "x_mm": "float", "y_mm": "float", "z_mm": "float", "quat_x": "float", "quat_y": "float", "quat_z": "float", "quat_w": "float",
-    "indenter": "string", "indenter_param": "string", "f_x": "float", "f_y": "float", "f_z": "float", "grid_z_max": "float", "grid_z_mean": "float",
-    "episode": "string", "frame_idx": "int", "digit_class": "int", "gel_variant": "string", "domain": "string",
-    "sequence_id": "string", "frame_in_seq": "int", "sequence_length": "int", "fps": "float",
-}
+FIELDS = {f.name: f.dataType.simpleString() for f in VIDEO if f.name not in ("image", "image_format")}
 
 
 def _kind(text: Column) -> Column:

@@ -6,8 +6,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 # The shapes of the first and the later converter, the capture name, gel by split.
-SHAPES_FIRST = "sphere cuboid cylinder cone hemisphere torus prism pyramid cross ellipsoid flat".split()
-SHAPES_LATER = "sphere cuboid cylinder cone hemisphere torus prism pyramid cross ellipse ellipsoid polygon flat".split()
+SHAPES_FIRST = ["sphere", "cuboid", "cylinder", "cone", "hemisphere", "torus", "prism", "pyramid", "cross", "ellipsoid", "flat"]
+SHAPES_LATER = ["sphere", "cuboid", "cylinder", "cone", "hemisphere", "torus", "prism", "pyramid", "cross", "ellipse", "ellipsoid", "polygon", "flat"]
 CAPTURE = r"^(.+)_Mini_Mini_init_pose_(\d+)_(labeled|unlabeled)_(left|right)$"
 CALIBRATION = r"^(\d+)_X(-?[0-9.]+)Y(-?[0-9.]+)Z(-?[0-9.]+)\.png$"
 

@@ -605,10 +605,10 @@ def reproducibility(spark, d):
     return table(spark, d, "runner").groupBy("source").agg(F.count(F.lit(1)).alias("n")).select("source", verify.reproducible(F.col("source")).alias("reproducible"), "n")
 
 
-_NAMES = [c for c in schema.ORDER if c != "image"]
+_NAMES = [c for c in schema.CORPUS.names if c != "image"]
 
 
-@query(f"select {', '.join(c for c in _NAMES if c not in (*schema.ADDED, 'domain'))}, cast(null as varchar) as episode, cast(null as int) as frame_idx, cast(null as int) as digit_class, case when markered then 'markered' else 'markerless' end as gel_variant, cast(null as varchar) as domain from make_parquet")
+@query(f"select {', '.join(c for c in _NAMES if c in schema.FIRST.names)}, cast(null as varchar) as episode, cast(null as int) as frame_idx, cast(null as int) as digit_class, case when markered then 'markered' else 'markerless' end as gel_variant, cast(null as varchar) as domain from make_parquet")
 def schema_backfill(spark, d):
     return schema.backfill(table(spark, d, "make_parquet")).select(*_NAMES)
 

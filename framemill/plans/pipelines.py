@@ -15,7 +15,7 @@ from framemill.session import checkpointed, table
 SHAPE = ["height", "width"]
 
 
-def curated(pictures: DataFrame, spec: schema.SourceSpec, source: list[str], unit: str, order: list[str], head: int = 10) -> DataFrame:
+def curated(pictures: DataFrame, spec: dict, source: list[str], unit: str, order: list[str], head: int = 10) -> DataFrame:
     """The generic run over pictures (source..., unit, order..., image): every picture after the head of its unit, with area, intensity and decision.
 
     Per unit and shape the first ``head`` pictures give the baseline and are used
@@ -32,14 +32,14 @@ def curated(pictures: DataFrame, spec: schema.SourceSpec, source: list[str], uni
     m = kept.withColumn("m", arrays.contact(F.col("frame"), F.col("base"))).select(*keys, "m.area", "m.intensity")
     headless = pictures.where(" or ".join(f"`{c}` is null" for c in group)).select(*keys, F.lit(None).cast("int").alias("area"), F.lit(None).cast("double").alias("intensity"))
     m = m.unionByName(headless)
-    m = m.withColumn("passing", arrays.passes(F.col("area"), F.col("intensity"), spec.a_min, spec.i_min))
-    hashes = pixels.measures(pictures, keys, spec.channel_mode).select(*keys, "phash")
+    m = m.withColumn("passing", arrays.passes(F.col("area"), F.col("intensity"), spec["a_min"], spec["i_min"]))
+    hashes = pixels.measures(pictures, keys, spec["channel_mode"]).select(*keys, "phash")
     on = [F.col(f"m.{c}").eqNullSafe(F.col(f"h.{c}")) for c in keys]
     cond = on[0]
     for c in on[1:]:
         cond = cond & c
     both = m.alias("m").join(hashes.alias("h"), cond).select("m.*", "phash")
-    return folds.curate(both, source, unit, [unit, *order], rate=spec.bg_keep_rate, distance=spec.phash_dist, lookback=spec.phash_lookback, budget=spec.budget)
+    return folds.curate(both, source, unit, [unit, *order], rate=spec["bg_keep_rate"], distance=spec["phash_dist"], lookback=spec["phash_lookback"], budget=spec["budget"])
 
 
 def refiltered(frames: DataFrame, group: list[str], key: list[str], test: Column, column: str = "frame", n: int = 100, rate: float = 0.015, seed: int = 0, least: int = 1, zscore: bool = False, floor: float = 1.0) -> DataFrame:
@@ -132,7 +132,7 @@ def _greys(spark: SparkSession, d: str, name: str, keep: list[str]) -> DataFrame
 
 def pl_curate(spark: SparkSession, d: str) -> DataFrame:
     p = table(spark, d, "make_parquet").select("source", "capture", "row_id", "image", "height", "width")
-    spec = schema.SourceSpec("pictures", "real", "mixed", "main", 10, a_min=6)
+    spec = schema.settings({"domain": "real", "gel_variant": "mixed", "license_repo": "main", "i_min": 10, "a_min": 6})
     return curated(p, spec, ["source"], "capture", ["row_id"]).drop("phash").withColumn("intensity", F.round("intensity", 6))
 
 

@@ -12,9 +12,9 @@ from framemill.plans import pipelines
 
 def test_projected(spark):
     df = spark.createDataFrame([("c", 3, "train", None, 1), ("c", 4, "val", "sim", 2)], "capture string, frame_idx int, split string, domain string, odd int")
-    r = schema.projected(df, schema.spec("unit"), ("domain",)).orderBy("frame_idx").collect()
+    r = schema.projected(df, schema.source("unit"), ("domain",)).orderBy("frame_idx").collect()
     assert [(x.source, x.domain, x.markered, x.gel_variant, x.frame_idx, x.height) for x in r] == [("unit", "real", True, "markered", 3, None), ("unit", "sim", True, "markered", 4, None)]
-    assert not schema.projected(df, schema.spec("sparsh")).first().markered
+    assert not schema.projected(df, schema.source("sparsh")).first().markered
 
 
 def test_row_defaults_and_summaries(spark):
@@ -105,7 +105,7 @@ def test_curated_keeps_pictures_without_unit(spark):
     rows = [("s", "a", i, picture(), 24, 24) for i in range(15)] + [("s", None, 100 + i, picture(), 24, 24) for i in range(4)]
     rows += [("s", None, 200, bytearray(b"none"), 24, 24), (None, "a", 300, picture(), 24, 24), ("s", "a", 400, picture(), None, 24)]
     df = spark.createDataFrame(rows, "source string, capture string, row_id bigint, image binary, height int, width int")
-    spec = schema.SourceSpec("pictures", "real", "mixed", "main", 10, a_min=6)
+    spec = schema.settings({"domain": "real", "gel_variant": "mixed", "license_repo": "main", "i_min": 10, "a_min": 6})
     got = {r.row_id: r for r in pipelines.curated(df, spec, ["source"], "capture", ["row_id"]).collect()}
     bare = {100, 101, 102, 103, 300, 400}
     assert set(got) == {*range(10, 15), *bare}

@@ -184,19 +184,24 @@ def test_schema(spark):
     assert both.count() == 8 and both.schema.names == schema.CORPUS.names
 
 
-def test_specs():
-    s = schema.SourceSpec("x", "real", "mixed", "main", 10)
-    assert (s.a_min, s.channel_mode, s.phash_dist, s.phash_lookback, s.budget, s.bg_keep_rate) == (40, "auto", 4, 30, 200_000, 0.015) and not s.markered
-    for bad in ({"domain": "toy"}, {"channel_mode": "grb"}, {"a_min": 0}):
-        with pytest.raises(ValueError):
-            schema.SourceSpec(**{"name": "x", "domain": "real", "gel_variant": "mixed", "license_repo": "main", "i_min": 1} | bad)
-    with pytest.raises(TypeError):
-        schema.SourceSpec("x", "real", "mixed", "main")
-    assert len(schema.specs()) == 13 and schema.spec("fota_unlabeled").phash_lookback == 5
-    with pytest.raises(KeyError, match="gelslam"):
-        schema.spec("nobody")
-    with pytest.raises(ValueError):
-        schema.register(schema.spec("unit"))
+def test_settings_of_sources(spark):
+    good = {"domain": "real", "gel_variant": "mixed", "license_repo": "main", "i_min": 10}
+    s = schema.settings(good)
+    assert (s["a_min"], s["channel_mode"], s["phash_dist"], s["phash_lookback"], s["budget"], s["bg_keep_rate"]) == (40, "auto", 4, 30, 200_000, 0.015)
+    for bad in ({"domain": "toy"}, {"channel_mode": "grb"}, {"a_min": 0}, {"bg_keep_rate": 1.5}, {"bg_keep_rate": -0.1}, {"color": "red"}):
+        with pytest.raises(ValueError, match=next(iter(bad))):
+            schema.settings(good | bad)
+    with pytest.raises(ValueError, match="i_min must be given"):
+        schema.settings({k: v for k, v in good.items() if k != "i_min"})
+    assert len(schema.SOURCES) == 13 and schema.source("fota_unlabeled")["phash_lookback"] == 5
+    with pytest.raises(KeyError, match="nobody"):
+        schema.source("nobody")
+    with pytest.raises(ValueError, match="unit"):
+        schema.with_source("unit", good)
+    more = schema.with_source("mine", good)
+    assert schema.source("mine", more)["i_min"] == 10 and "mine" not in schema.SOURCES
+    rows = {r.source: r for r in schema.source_table(spark, more).collect()}
+    assert len(rows) == 14 and rows["unit"].phash_dist is None and rows["gelslam"].budget == 200_000
 
 
 def test_names_and_lookups(spark):
