@@ -327,7 +327,7 @@ def compared(rows: DataFrame, every: int, most: float = MOST) -> DataFrame:
     grey = wanted.select("row_id", "image").mapInArrow(_pixels, "row_id bigint, height int, grey binary").join(wanted.select("row_id", (F.col("split") == "train").alias("train")), "row_id")
     grey = written(grey.select("row_id", "height", F.length("grey").alias("size"), "train", "grey"))
     n, shape = grey.count(), ["height", "size"]
-    of_q, of_r = max(-(-n // (every * 1024)), 1), max(-(-n // 16_384), 1)
+    of_q, of_r = max(-(-n // (every * 4096)), 1), max(-(-n // 16_384), 1)
     block = lambda of: F.pmod(F.xxhash64("row_id"), F.lit(of)).cast("int")
     every_block = lambda of: F.explode(F.sequence(F.lit(0), F.lit(of - 1)))
     queries = grey.where(F.col("row_id") % every == 0).select(*shape, F.col("train").alias("side"), block(of_q).alias("q"), every_block(of_r).alias("r"), "row_id", "grey")
