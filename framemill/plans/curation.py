@@ -212,7 +212,7 @@ def curate_strided(spark, d):
     return folds.curate(_decided(spark, d), ["source"], "capture", ["capture", "frame_idx"], rate=0.1, distance=18, lookback=5, budget=150, every=20).select("capture", "frame_idx", "decision")
 
 
-@query(fold(_BY_SOURCE, _ROWS, budget=300, every=50))
+@query(fold(_BY_SOURCE.replace("ok, h, capture", "true as ok, h, capture"), _ROWS, budget=300, every=50))
 def live_stride(spark, d):
     return folds.live_stride(_decided(spark, d), ["source"], ["capture", "frame_idx"], 300, 50).select("capture", "frame_idx", "decision")
 
