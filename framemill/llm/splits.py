@@ -192,6 +192,7 @@ def extend(store: Store, rows: DataFrame, proportions: dict[str, float] | None =
     joins a quarantined component is quarantined too. New components fill what
     the splits lack. A rerun, or an empty batch, changes nothing. Records that were
     seen under other keys make the state void: it is then built afresh from rows.
+    Records that have left the table stay in the state, and what they linked stays linked.
     """
     proportions = proportions or SPLITS
     spark = rows.sparkSession
